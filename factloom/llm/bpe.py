@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from factloom.llm.common import ship, table
 
 NONE = 1 << 62
-MEMO, MEMO_CHARS = 400_000, 48
+MEMO, MEMO_CHARS = 1_000_000, 48
 _loaded: dict = {}
 
 
