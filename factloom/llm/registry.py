@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from factloom.llm import bpe, fingerprints, mixing, wordpiece
+from factloom.llm import bpe, fingerprints, mixing, toxicity, wordpiece
 
 
 def queries():
     return {
         "op1_mixing": mixing.op1_mixing,
         "op2_bpe": bpe.op2_bpe,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op6_token_counts": wordpiece.op6_token_counts,
         "op7_fingerprints": fingerprints.op7_fingerprints,
     }
