@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factloom.llm import bpe, fingerprints, mixing, toxicity, wordpiece
+from factloom.llm import bpe, fingerprints, mixing, suffixes, toxicity, wordpiece
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
         "op4_toxicity": toxicity.op4_toxicity,
         "op6_token_counts": wordpiece.op6_token_counts,
         "op7_fingerprints": fingerprints.op7_fingerprints,
+        "op9_repeats": suffixes.op9_repeats,
     }
 
 
