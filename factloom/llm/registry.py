@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from factloom.llm import bpe, fingerprints, mixing, suffixes, toxicity, wordpiece
+from factloom.llm import bpe, fingerprints, mixing, neighbours, suffixes, toxicity, wordpiece
 
 
 def queries():
     return {
         "op1_mixing": mixing.op1_mixing,
         "op2_bpe": bpe.op2_bpe,
+        "op3_neighbours": neighbours.op3_neighbours,
         "op4_toxicity": toxicity.op4_toxicity,
         "op6_token_counts": wordpiece.op6_token_counts,
         "op7_fingerprints": fingerprints.op7_fingerprints,
