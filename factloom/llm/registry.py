@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factloom.llm import bpe, fingerprints, mixing, neighbours, suffixes, toxicity, wordpiece
+from factloom.llm import bpe, fingerprints, jaccard, mixing, neighbours, suffixes, toxicity, wordpiece
 
 
 def queries():
@@ -11,6 +11,7 @@ def queries():
         "op2_bpe": bpe.op2_bpe,
         "op3_neighbours": neighbours.op3_neighbours,
         "op4_toxicity": toxicity.op4_toxicity,
+        "op5_jaccard": jaccard.op5_jaccard,
         "op6_token_counts": wordpiece.op6_token_counts,
         "op7_fingerprints": fingerprints.op7_fingerprints,
         "op9_repeats": suffixes.op9_repeats,
