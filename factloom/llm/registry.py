@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factloom.llm import bpe, fingerprints, jaccard, lines, mixing, neighbours, suffixes, toxicity, wordpiece
+from factloom.llm import bpe, fingerprints, jaccard, licences, lines, mixing, neighbours, suffixes, toxicity, wordpiece
 
 
 def queries():
@@ -14,6 +14,7 @@ def queries():
         "op5_jaccard": jaccard.op5_jaccard,
         "op6_token_counts": wordpiece.op6_token_counts,
         "op7_fingerprints": fingerprints.op7_fingerprints,
+        "op8_licences": licences.op8_licences,
         "op9_repeats": suffixes.op9_repeats,
         "op10_lines": lines.op10_lines,
     }
