@@ -1 +1,10 @@
+"""The queries of the library, by name."""
 
+from __future__ import annotations
+
+
+def load():
+    """(queries, SQL) of every module of plans."""
+    from factloom.plans import facts, registry  # noqa: F401
+
+    return registry.QUERIES, registry.SQL
