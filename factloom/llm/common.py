@@ -67,7 +67,7 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0] : offs[-1]], offs - offs[0]
 
 
-def portions(offsets: np.ndarray, most: int = 2 << 20):
+def portions(offsets: np.ndarray, most: int = (1 << 19) - 64):
     """Row ranges [i, j) of at most that many bytes, or of one row."""
     i, n = 0, len(offsets) - 1
     while i < n:

@@ -60,6 +60,24 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of words by eight bytes at a time: as many passes over the words as the longest has eights."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(data) + 1,), (1,))
+    left = ends - starts
+    out = mix((eights[starts] & _MASKS[np.minimum(left, 8)]) + left.astype(np.uint64) * _TURN[20])
+    more = np.flatnonzero(left > 8)
+    at = 8
+    while len(more):
+        rest = left[more] - at
+        out[more] = mix((out[more] ^ (eights[starts[more] + at] & _MASKS[np.minimum(rest, 8)])) * _TURN[21] + _TURN[22])
+        more, at = more[rest > 8], at + 8
+    return out
+
+
 def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each row's runs of k words and the first of each row; a row of fewer words gives the whole row as one."""
     count = np.diff(first)

@@ -69,7 +69,7 @@ def bags(data: np.ndarray, offsets: np.ndarray):
     """Distinct words' features and each row's words as numbers of them: (word, bucket, number, first)."""
     data = rolling.LOWER[data]
     starts, ends, first = rolling.words(data, offsets)
-    hashes = rolling.span(rolling.sums(data), starts, ends)
+    hashes = rolling.word_hashes(data, starts, ends)
     _, one, number = np.unique(hashes, return_index=True, return_inverse=True)
     word, bucket = features(data, starts[one], ends[one])
     return word, bucket, number, first
@@ -101,9 +101,6 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, rounds: int = 4, ba
     raw = [(t or "").encode() for t in texts]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     word, bucket, number, first = bags(data, offsets)
-    own = np.repeat(np.arange(len(y)), np.diff(first))
-    pairs = np.unique(own * (number.max(initial=0) + 1) + number)
-    docs_of, words_of = pairs // (number.max(initial=0) + 1), pairs % (number.max(initial=0) + 1)
     starts = np.searchsorted(word, np.arange(number.max(initial=0) + 2))
     length = np.diff(starts)
 
@@ -111,10 +108,10 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, rounds: int = 4, ba
         n = length[words_]
         return np.repeat(starts[:-1][words_] - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
 
-    index, n = flat(words_of)
-    seen = np.unique(bucket[index] * len(y) + np.repeat(docs_of, n))
-    seen, label = seen // len(y), y[seen % len(y)]
-    in_toxic, in_clean = (np.bincount(seen[label == c], minlength=BUCKETS) for c in (1, 0))
+    in_toxic, in_clean = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for i in range(len(y)):  # a document at a time, so that memory does not grow with the sample
+        have = np.unique(bucket[flat(np.unique(number[first[i] : first[i + 1]]))[0]])
+        (in_toxic if y[i] else in_clean)[have] += 1
     used = in_toxic + in_clean >= min(LEAST_DOCS, max(1, y.sum() // 4))
     odds = np.log((in_toxic + 0.5) / (y.sum() + 1)) - np.log((in_clean + 0.5) / (len(y) - y.sum() + 1))
     keep = used[bucket]
@@ -242,7 +239,7 @@ def sample(docs: DataFrame, labels: DataFrame, most_docs: int, most_chars: int,
     return [r[1] for r in got], [r[2] for r in got]
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 1500, most_chars: int = 6_000_000) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 1200, most_chars: int = 4_000_000) -> Model | None:
     return train(*sample(docs, labels, most_docs, most_chars))
 
 
