@@ -76,13 +76,50 @@ def portions(offsets: np.ndarray, most: int = (1 << 19) - 64):
         i = min(j, n)
 
 
+#: Up to so many edges are joined in one task, some 16 bytes each; more go through rounds of shuffles.
+ONE_TASK = 500_000
+
+
 def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) for every node; component is the smallest node reached by links (a, b).
 
-    Alternating large-star and small-star steps: each is one shuffle over the links, and the number of
-    rounds grows with the logarithm of the longest chain. Each round is written to the shared folder.
+    The number of edges is counted first. Beyond ONE_TASK, large-star and small-star steps alternate: each is one
+    shuffle over the links, and the number of rounds grows with the logarithm of the longest chain. Each round is
+    written to the shared folder.
     """
     edges = save(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    if edges.count() <= ONE_TASK:
+        found = edges.coalesce(1).mapInArrow(_joined, "u bigint, component bigint")
+    else:
+        found = _stars(edges).groupBy("u").agg(F.min("v").alias("component"))
+    return nodes.join(found, nodes["node"] == found["u"], "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def _joined(batches):
+    """(u, component) of every end of the edges (u, v)."""
+    import pyarrow as pa
+
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while (above := up.get(root, root)) != root:
+            root = above
+        while x != root:
+            up[x], x = root, up.get(x, x)
+        return root
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x, y = find(u), find(v)
+            up[u], up[v] = up.get(u, u), up.get(v, v)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+    ends = list(up)
+    yield pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()), pa.array([find(x) for x in ends], pa.int64())], ["u", "component"])
+
+
+def _stars(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -94,7 +131,5 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
         edges = save(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
-            break
+            return edges
         before = now
-    found = edges.groupBy("u").agg(F.min("v").alias("component"))
-    return nodes.join(found, nodes["node"] == found["u"], "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -1,15 +1,20 @@
 """N-gram Jaccard join by signature trees.
 
-Documents are sets of distinct word shingles; those that share a token of their prefixes (sets.py) meet in that
-token's cell. A document's signature is a bitmap of the prefix tokens it shares with any other. A cell's
-classes, ordered by size and bitmap, are the leaves of a tree whose nodes hold the OR of the bitmaps, the range
-of sizes and the largest number of tokens that fell on one bit. A dual traversal drops node pairs whose sizes
-can't reach the threshold, whose largest possible overlap is below the least that any pair of theirs needs, or
-that are known to be one component. What is left is checked on the whole sets.
-
-It runs twice. First each class meets only its neighbour in each cell's order, which joins most copies at the
-cost of one pair a row; then all remaining pairs between different components meet. A group of thousands of
-near copies so gives pairs in proportion to its members, and no link between components is lost.
+Documents are sets of distinct word shingles. The join goes from coarse to fine, and each step keeps every link:
+
+1. Sets that share a token of their prefixes (sets.py) meet in that token's cell. Sizes, a bitmap of the prefix
+   tokens a set shares with any other and a bitmap of all its tokens bound what two sets can have in common.
+   Sets that may be linked are joined into families; a task gives only the edges that join what it had not
+   joined, so a cell of thousands of near copies gives edges in proportion to its members.
+2. Each family's texts meet once. A signature is a bitmap of a set's tokens, sixteen bits a token. The family's
+   sets, ordered by size and signature, are the leaves of a tree whose nodes hold the OR of the bitmaps, the range
+   of sizes and the largest number of tokens that fell on bits already set. A dual traversal drops node pairs
+   whose sizes can't reach the threshold or whose largest possible overlap is below the least needed; what is
+   left and not yet connected is checked on the sets themselves. A family of over GROUP tokens is
+   parted by size and then to chunks, every two of which meet (sets.py).
+3. Connected components of the links found.
+
+Cells of thousands go through the same tree, over the bitmaps of step 1.
 
 Defined cases: null, empty and blank texts have the empty set and link with nothing (their component is their
 own id); fewer words than k make one shingle; equal sets are one class whatever their number; repeated rows
@@ -25,36 +30,44 @@ from pyspark.sql import functions as F
 
 from factloom.llm import sets
 from factloom.llm.common import components, portions, save, ship, table, utf8
-from factloom.llm.suffixes import keyed, packed
+from factloom.llm.suffixes import keyed
 
 K, LIKE = 4, 85
-LEAF, FAN, WORDS_OF_BITS = 16, 8, 4
+LEAF, FAN, WORDS_OF_BITS, SLICE = 16, 8, 4, 2048
+WHOLE = [f"b{i}" for i in range(WORDS_OF_BITS)]
 
 
 def measured(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of kind 0: (id, key, cls, n); rows of kind 1: (bucket, count) of the sketch, in the same columns."""
+    """Rows of kind 0: (id, key, cls, n, b0..); rows of kind 1: (bucket, count) of the sketch, in the same columns."""
     ship(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
-        from factloom.llm import sets
+        from factloom.llm import jaccard, sets
 
         counts = np.zeros(sets.SKETCH, np.int64)
-        names = ["kind", "doc_id", "key", "cls", "n"]
+        names = ["kind", "doc_id", "key", "cls", "n", *jaccard.WHOLE]
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             for i, j in portions(offsets):
                 first, tokens = sets.unit_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
                 counts += np.bincount((tokens & np.uint64(sets.SKETCH - 1)).astype(np.int64), minlength=sets.SKETCH)
+                bits = np.zeros((j - i, WORDS_OF_BITS), np.uint64)
+                if len(tokens):
+                    full, one = np.flatnonzero(np.diff(first) > 0), np.uint64(1) << (tokens & np.uint64(63))
+                    word = tokens >> np.uint64(6) & np.uint64(WORDS_OF_BITS - 1)
+                    for w in range(WORDS_OF_BITS):
+                        bits[full, w] = np.bitwise_or.reduceat(np.where(word == w, one, np.uint64(0)), first[full])
                 cols = [pa.array(np.zeros(j - i, np.int32)), batch.column(0)[i:j], batch.column(1)[i:j], pa.array(sets.classes(first, tokens).view(np.int64)), pa.array(np.diff(first))]
+                cols += [pa.array(np.ascontiguousarray(bits[:, w]).view(np.int64)) for w in range(WORDS_OF_BITS)]
                 yield pa.RecordBatch.from_arrays(cols, names)
         hit = np.flatnonzero(counts)
         nothing = pa.nulls(len(hit), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hit), np.int32)), nothing, nothing, pa.array(hit), pa.array(counts[hit])], names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hit), np.int32)), nothing, nothing, pa.array(hit), pa.array(counts[hit]), *[nothing] * WORDS_OF_BITS], names)
 
     rows = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "key", "text")
-    return save(rows.mapInArrow(run, "kind int, doc_id bigint, key bigint, cls bigint, n bigint"), "sets")
+    return save(rows.mapInArrow(run, "kind int, doc_id bigint, key bigint, cls bigint, n bigint, " + ", ".join(f"{c} bigint" for c in WHOLE)), "sets")
 
 
 _COUNT = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
@@ -62,6 +75,8 @@ _COUNT = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
 def popcount(x: np.ndarray) -> np.ndarray:
     """Bits set in the last axis of 64-bit words."""
+    if hasattr(np, "bitwise_count"):
+        return np.bitwise_count(x).sum(-1, dtype=np.int64)
     return _COUNT[np.ascontiguousarray(x).view(np.uint16)].sum(-1, dtype=np.int64)
 
 
@@ -70,127 +85,255 @@ def needed(a, b, t: int):
     return np.maximum(1, sets.least_common(a, b, t) - np.maximum(a - sets.prefix_length(a, t), b - sets.prefix_length(b, t)))
 
 
-def fits(n, bits, spare, i, j, t: int) -> np.ndarray:
-    """Which pairs of classes may reach t: by size, and by common bits plus the tokens that share a bit."""
-    a, b = n[i], n[j]
-    ok = 100 * np.minimum(a, b) >= t * np.maximum(a, b)
-    most = popcount(bits[i] & bits[j]) + np.minimum(spare[i], spare[j])
-    return ok & (most >= needed(a, b, t))
+def needed_of_nodes(low_a, low_b, large, t: int):
+    return np.maximum(1, sets.least_common(low_a, low_b, t) - (large - sets.prefix_length(large, t)))
 
 
 class Tree:
-    """Rows lo..hi in order, in nodes of LEAF rows and then of FAN nodes."""
+    """Rows in order of size in nodes of LEAF rows, these in nodes of FAN, up to one root.
+
+    bits: a bitmap a row; spare: tokens of the row beyond the bits set; comp: rows of one comp need no pair.
+    prefix: whether the bitmaps are of prefix tokens shared or of the whole sets.
+    """
 
-    def __init__(self, n, bits, spare, comp):
-        self.rows = (n, bits, spare, comp)
-        starts = np.arange(0, len(n), LEAF)
-        self.levels = [self._node(n, n, bits, spare, comp, comp, starts)]
+    def __init__(self, n, bits, spare, comp, prefix: bool):
+        self.rows, self.prefix = (n, bits, spare, comp), prefix
+        self.levels = [self._node(n, n, bits, spare, comp, comp, np.arange(0, len(n), LEAF))]
         while len(self.levels[-1][0]) > 1:
-            low, high, bits_, spare_, c0, c1 = self.levels[-1]
-            self.levels.append(self._node(low, high, bits_, spare_, c0, c1, np.arange(0, len(low), FAN)))
+            last = self.levels[-1]
+            self.levels.append(self._node(*last, np.arange(0, len(last[0]), FAN)))
 
     @staticmethod
     def _node(low, high, bits, spare, c0, c1, at):
         return (np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.bitwise_or.reduceat(bits, at), np.maximum.reduceat(spare, at), np.minimum.reduceat(c0, at), np.maximum.reduceat(c1, at))
 
+    def _overlap(self, bits, spare, i, j) -> np.ndarray:
+        out = np.empty(len(i), np.int64)
+        step = max(1, (8 << 20) // (8 * bits.shape[1]))
+        for k in range(0, len(i), step):
+            x, y = i[k : k + step], j[k : k + step]
+            out[k : k + step] = popcount(bits[x] & bits[y]) + np.minimum(spare[x], spare[y])
+        return out
+
     def pairs(self, t: int):
-        """Row pairs i < j that may reach t and lie in different components."""
-        i = j = np.zeros(1, np.int64)
-        for depth in range(len(self.levels) - 1, -1, -1):
+        """Row pairs i < j that may reach t and are not of one comp, and their largest possible overlap.
+
+        In blocks: a depth-first walk over slices of node pairs, so that a block is bounded whatever the tree.
+        """
+        start = np.zeros(1, np.int64)
+        todo = [(len(self.levels) - 1, start, start)]
+        while todo:
+            depth, i, j = todo.pop()
+            if len(i) > SLICE:
+                todo += [(depth, i[k : k + SLICE], j[k : k + SLICE]) for k in range(0, len(i), SLICE)]
+                continue
             low, high, bits, spare, c0, c1 = self.levels[depth]
-            one = (c0[i] == c1[i]) & (c0[j] == c1[j]) & (c0[i] == c0[j])
-            small, large = np.minimum(low[i], low[j]), np.maximum(high[i], high[j])
-            apart = (100 * high[i] < t * low[j]) | (100 * high[j] < t * low[i])
-            most = popcount(bits[i] & bits[j]) + np.minimum(spare[i], spare[j])
-            least = np.maximum(1, sets.least_common(low[i], low[j], t) - (large - sets.prefix_length(large, t)))
-            keep = ~one & ~apart & (most >= np.where(small > 0, least, 1))
+            keep = ~((c0[i] == c1[i]) & (c0[j] == c1[j]) & (c0[i] == c0[j]))
+            keep &= (100 * high[i] >= t * low[j]) & (100 * high[j] >= t * low[i])
             i, j = i[keep], j[keep]
+            if self.prefix:
+                least = needed_of_nodes(low[i], low[j], np.maximum(high[i], high[j]), t)
+            else:
+                least = sets.least_common(low[i], low[j], t)
+            keep = self._overlap(bits, spare, i, j) >= least
+            i, j = i[keep], j[keep]
+            if not len(i):
+                continue
             step, size = (FAN, len(self.levels[depth - 1][0])) if depth else (LEAF, len(self.rows[0]))
             a = (i[:, None] * step + np.arange(step))[:, :, None]
             b = (j[:, None] * step + np.arange(step))[:, None, :]
             a, b = np.broadcast_arrays(a, b)
             ok = (a < size) & (b < size) & ((a < b) if depth == 0 else (a <= b))
             i, j = a[ok], b[ok]
-        n, bits, spare, comp = self.rows
-        keep = fits(n, bits, spare, i, j, t) & (comp[i] != comp[j])
-        return i[keep], j[keep]
+            if depth:
+                todo.append((depth - 1, i, j))
+                continue
+            n, bits, spare, comp = self.rows
+            keep = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= t * np.maximum(n[i], n[j]))
+            i, j = i[keep], j[keep]
+            most = self._overlap(bits, spare, i, j)
+            keep = most >= (needed(n[i], n[j], t) if self.prefix else sets.least_common(n[i], n[j], t))
+            yield i[keep], j[keep], most[keep]
 
 
-def met(cells: DataFrame, t: int, chain: bool) -> DataFrame:
-    """Distinct pairs (a, b) of classes to check. cells: (token, cls, n, comp, tokens, w0..): chain: neighbours only."""
+class Union(dict):
+    """Disjoint sets of whatever is asked for."""
+
+    def find(self, x):
+        root = x
+        while (up := self.get(root, root)) != root:
+            root = up
+        while self.get(x, x) != root:
+            self[x], x = root, self.get(x, x)
+        return root
+
+    def join(self, x, y) -> bool:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self[max(x, y)] = min(x, y)
+        return x != y
+
+
+def signed(cells: DataFrame) -> DataFrame:
+    """(cls, size, shared, w0..): how many prefix tokens a class shares with any other, and their bitmap."""
+    bit = F.col("token").bitwiseAND(64 * WORDS_OF_BITS - 1)
+    one = F.expr("shiftleft(1L, cast(token & 63 as int))")
+    words = [F.bit_or(F.when(F.shiftright(bit, 6) == i, one).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(WORDS_OF_BITS)]
+    return cells.groupBy("cls").agg(F.max("n").alias("size"), F.count("*").alias("shared"), *words)
+
+
+def families(cells: DataFrame, t: int) -> DataFrame:
+    """Edges (a, b) whose components hold every link. cells: (token, cls, n, pos, shared, b0.., w0..).
+
+    Sets of a and b tokens that share one at positions i and j of the global order have at most
+    min(i, j) + 1 + min(a - i, b - j) - 1 in common.
+    """
     ship(cells.sparkSession)
-    names = ["token", "cls", "n", "comp", "shared", *(f"w{i}" for i in range(WORDS_OF_BITS))]
+    names = ["token", "cls", "n", "pos", "shared", *WHOLE, *(f"w{i}" for i in range(WORDS_OF_BITS))]
 
     def run(batches):
         import pyarrow as pa
 
         from factloom.llm import jaccard
 
-        known: set = set()
+        union = jaccard.Union()
         for g in sets.whole_groups(batches, names):
-            n = g["n"].astype(np.int64)
+            order = np.lexsort((g["w0"], g["n"], g["token"]))
+            g = {c: v[order] for c, v in g.items()}
+            n, pos, cls, whole = g["n"].astype(np.int64), g["pos"].astype(np.int64), g["cls"], np.stack([g[c] for c in WHOLE], 1).view(np.uint64)
             bits = np.stack([g[f"w{i}"] for i in range(WORDS_OF_BITS)], 1).view(np.uint64)
             spare = g["shared"].astype(np.int64) - popcount(bits)
+            if len(union) > 1_000_000:
+                union.clear()
+            kinds, back = np.unique(cls, return_inverse=True)
+            root = np.array([union.find(c) for c in kinds.tolist()], np.int64)[back]
             begin = np.flatnonzero(np.concatenate([[True], g["token"][1:] != g["token"][:-1]]))
             size = np.diff(np.append(begin, len(n)))
-            if chain:
-                i = np.flatnonzero(g["token"][1:] == g["token"][:-1])
-                out = [(i, i + 1)]
-            else:
-                small = np.repeat(size <= LEAF, size)
-                rows = np.flatnonzero(small)
-                i, j = sets.within(size[size <= LEAF])
-                out = [(rows[i], rows[j])]
-            kept = []
-            for i, j in out:
-                ok = fits(n, bits, spare, i, j, t) & (g["comp"][i] != g["comp"][j])
-                kept.append((i[ok], j[ok]))
-            if not chain:
-                for at, s in zip(begin[size > LEAF], size[size > LEAF], strict=True):
-                    c = slice(at, at + s)
-                    if (g["comp"][c] == g["comp"][at]).all():
-                        continue
-                    i, j = jaccard.Tree(n[c], bits[c], spare[c], g["comp"][c]).pairs(t)
-                    kept.append((i + at, j + at))
-            a, b = (g["cls"][np.concatenate([k[x] for k in kept])] for x in (0, 1))
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-            if len(known) > 1_000_000:
-                known.clear()
-            fresh = [p for p in map(tuple, pairs.tolist()) if p not in known]
-            known.update(fresh)
-            yield pa.RecordBatch.from_arrays([pa.array([p[x] for p in fresh], pa.int64()) for x in (0, 1)], ["a", "b"])
-
-    order = cells.repartition("token").sortWithinPartitions("token", "n", *(f"w{i}" for i in range(WORDS_OF_BITS)), "cls")
-    return order.select(*names).mapInArrow(run, "a bigint, b bigint").distinct()
+            out = []
+
+            def joined(i, j):
+                least = sets.least_common(n[i], n[j], t)
+                near = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= least
+                near &= popcount(whole[i] ^ whole[j]) <= n[i] + n[j] - 2 * least
+                for a, b in zip(cls[i[near]].tolist(), cls[j[near]].tolist(), strict=True):
+                    if union.join(a, b):
+                        out.append((a, b))
+
+            rows = np.flatnonzero(np.repeat(size <= LEAF, size))
+            i, j = sets.within(size[size <= LEAF])
+            i, j = rows[i], rows[j]
+            ok = (root[i] != root[j]) & (100 * n[i] >= t * n[j])
+            i, j = i[ok], j[ok]
+            ok = popcount(bits[i] & bits[j]) + np.minimum(spare[i], spare[j]) >= jaccard.needed(n[i], n[j], t)
+            joined(i[ok], j[ok])
+            for at, s in zip(begin[size > LEAF], size[size > LEAF], strict=True):
+                c = slice(at, at + s)
+                now = np.array([union.find(x) for x in cls[c].tolist()], np.int64)
+                if (now != now[0]).any():
+                    for i, j, _ in jaccard.Tree(n[c], bits[c], spare[c], now, True).pairs(t):
+                        joined(i + at, j + at)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return cells.select(*names).repartition("token").sortWithinPartitions("token").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def signatures(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of sixteen bits a token of the largest set, and the tokens beyond the bits set."""
+    n = np.diff(first)
+    width = max(64, 1 << int(16 * int(n.max(initial=1)) - 1).bit_length())
+    bits = np.zeros((len(n), width // 64), np.uint64)
+    own = np.repeat(np.arange(len(n)), n)
+    at = (tokens & np.uint64(width - 1)).astype(np.int64)
+    np.bitwise_or.at(bits, (own, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+    return bits, n - popcount(bits)
+
+
+def meetings(first: np.ndarray, tokens: np.ndarray, t: int, wanted):
+    """Pairs (a, b) of the sets tokens[first[i]:first[i + 1]] that signature trees leave, by blocks, likeliest first.
+
+    wanted(a, b) tells of arrays of pairs which are still of use when their block comes up.
+    """
+    n = np.diff(first)
+    order = np.argsort(n, kind="stable")
+    # Sizes that may meet lie together: a run of them shares one width of bitmap.
+    cuts = [0]
+    while cuts[-1] < len(n):
+        cuts.append(int(np.searchsorted(n[order], 4 * n[order[cuts[-1]]], "right")))
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        hi = int(np.searchsorted(n[order], n[order[hi - 1]] * 100 // t, "right"))  # and those that the last may meet
+        part = order[lo:hi]
+        size = n[part]
+        at = np.concatenate([[0], np.cumsum(size)])
+        own = np.concatenate([tokens[first[x] : first[x + 1]] for x in part]) if len(part) else tokens[:0]
+        bits, spare = signatures(own, at)
+        finer = np.lexsort((bits[:, 0], size))
+        size = size[finer]
+        for i, j, most in Tree(size, bits[finer], spare[finer], np.arange(len(part)), False).pairs(t):
+            x, y = part[finer[i]], part[finer[j]]
+            use = np.flatnonzero(wanted(x, y))
+            for k in use[np.argsort(-most[use] / (size[i[use]] + size[j[use]]), kind="stable")].tolist():
+                yield int(x[k]), int(y[k])
+
+
+def reaches(p: np.ndarray, q: np.ndarray, t: int) -> bool:
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= t * (len(p) + len(q) - both)
+
+
+def linked(first: np.ndarray, tokens: np.ndarray, t: int) -> list[tuple[int, int]]:
+    """Spanning edges of the links among the sets tokens[first[i]:first[i + 1]]."""
+    label, out = np.arange(len(first) - 1), []
+    for x, y in meetings(first, tokens, t, lambda a, b: label[a] != label[b]):
+        if label[x] != label[y] and reaches(tokens[first[x] : first[x + 1]], tokens[first[y] : first[y + 1]], t):
+            label[label == label[y]] = label[x]
+            out.append((x, y))
+    return out
 
 
 def links(docs: DataFrame, found: DataFrame, k: int = K, t: int = LIKE) -> DataFrame:
-    """(cls, component) of every class that is linked to another; found as measured() gives it."""
+    """(cls, component) of every class that may be linked to another; found as measured() gives it."""
     level = sets.read_levels(found.where("kind = 1").select(F.col("cls").alias("bucket"), "n"))
     cells = sets.survivors(sets.prefixes(keyed(docs).select("text"), k, t, level, lines=False), "prefixes")
-    bit = F.col("token").bitwiseAND(64 * WORDS_OF_BITS - 1)
-    word = [F.bit_or(F.when(F.shiftright(bit, 6) == i, F.expr("shiftleft(1L, cast(token & 63 as int))")).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(WORDS_OF_BITS)]
-    signs = save(cells.groupBy("cls").agg(F.count("*").alias("shared"), *word), "signatures")
-    cells = save(cells.join(signs, "cls"), "cells")
-    one = found.where("kind = 0").join(signs.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min("key").alias("key"))
-    units = packed(keyed(docs).select("key", "text"), ["key"]).join(one, "key").groupBy("cls").agg(F.first("packed").alias("packed"))
-    units = save(units, "texts")
-    good = save(sets.checked(met(cells.withColumn("comp", F.col("cls")), t, True), units, k, t), "links")
-    nodes = signs.select(F.col("cls").alias("node"))
-    comps = save(components(good, nodes).select(F.col("node").alias("cls"), F.col("component").alias("comp")), "components")
-    pairs = met(cells.join(comps, "cls"), t, False)
-    more = save(sets.checked(pairs, units, k, t), "links")
-    return components(good.unionByName(more), nodes).select(F.col("node").alias("cls"), "component")
+    one = found.where("kind = 0").groupBy("cls").agg(F.min("key").alias("key"), *[F.min(c).alias(c) for c in WHOLE])
+    signs = save(signed(cells).join(one, "cls"), "signatures")
+    edges = save(families(cells.join(signs.drop("key", "size"), "cls"), t), "family-edges")
+    nodes = edges.select(F.col("a").alias("node")).unionAll(edges.select("b")).distinct()
+    family = save(components(edges, nodes).select(F.col("node").alias("cls"), F.col("component").alias("family")), "families")
+
+    asked = save(signs.join(family, "cls").groupBy("key").agg(F.first("cls").alias("asked")), "asked")  # equal texts are of one class
+    units = sets.texts_of(docs, asked).groupBy(F.col("asked").alias("cls")).agg(F.first("packed").alias("packed"))
+    groups = sets.dealt(family.join(signs.select("cls", "size"), "cls"), t)
+    ship(docs.sparkSession)
+
+    def run(batches):
+        import pyarrow as pa
+        import zstandard
+
+        from factloom.llm import jaccard, sets
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        for rows in sets.whole_rows(batches):
+            first, tokens = sets.sets_of([unpack(r[2]) for r in rows], k)
+            cuts = np.array([0, *(i for i in range(1, len(rows)) if rows[i][0] != rows[i - 1][0]), len(rows)])
+            out = [(rows[x][1], rows[y][1]) for x, y in zip(*sets.small_pairs(first, tokens, cuts, t), strict=True)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if b - a > sets.SMALL:
+                    out += [(rows[a + x][1], rows[a + y][1]) for x, y in jaccard.linked(first[a : b + 1] - first[a], tokens[first[a] : first[b]], t)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    rows = groups.join(units, "cls").select("group", "cls", "packed").repartition("group").sortWithinPartitions("group", "cls")
+    good = save(rows.mapInArrow(run, "a bigint, b bigint"), "links")
+    return components(good, nodes).select(F.col("node").alias("cls"), "component")
 
 
 def join(docs: DataFrame, k: int = K, t: int = LIKE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row; docs linked by t per cent or more are one component."""
     found = measured(docs, k)
-    linked = links(docs, found, k, t)
+    known = links(docs, found, k, t)
     rows = found.where("kind = 0").select("doc_id", "cls", F.col("n").alias("n_shingles"))
     empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     rows = rows.where("n_shingles > 0")
-    least = rows.groupBy("cls").agg(F.min("doc_id").alias("least")).join(linked, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    least = rows.groupBy("cls").agg(F.min("doc_id").alias("least")).join(known, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = save(least.select("cls", "component", "least"), "classes")
     ids = least.groupBy("component").agg(F.min("least").alias("component_id"))
     return rows.join(least.join(ids, "component").select("cls", "component_id"), "cls").select("doc_id", "n_shingles", "component_id").unionByName(empty)

@@ -2,12 +2,11 @@
 
 A line is the set of its distinct shingles of K words. Lines of equal sets are one class, which stands at its
 first line. A line goes if an earlier line, by (doc_id, line number), reaches Jaccard LIKE with it; what is
-earlier is judged on the input. Candidates come from rarity-ordered prefixes (sets.py) through three filters:
-the sizes, the positions of the shared token, and the number of prefix tokens in common; every candidate is
-checked on its whole sets.
-
-A class needs one earlier match only. First each class meets the earliest class it may match in each token's
-group, one pair a row; then only classes still without an earlier match meet all that stand before them.
+earlier is judged on the input. Candidates come from rarity-ordered prefixes (sets.py): classes that share a
+token pass the length filter, the positional filter, and two bitmaps that bound the tokens of their prefixes in
+common and the tokens that one of them lacks (jaccard.families). What may match makes families; a family's lines
+meet once, and each class is checked on whole sets against earlier ones, likeliest first, until one matches.
+Large families are parted by size and dealt to chunks that meet in pairs.
 
 Defined cases: lines of fewer than LEAST_WORDS words (and empty lines) always stay; lines are parted by line
 feeds; null texts stay null; rows that repeat both id and text are one document and fare alike; a null id
@@ -20,9 +19,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import sets
-from factloom.llm.common import portions, save, ship, table, utf8
-from factloom.llm.suffixes import keyed, packed
+from factloom.llm import jaccard, sets
+from factloom.llm.common import components, portions, save, ship, table, utf8
+from factloom.llm.suffixes import keyed, text_key
 
 K, LIKE, LEAST_WORDS = 5, 80, 5
 
@@ -37,7 +36,7 @@ def measured(docs: DataFrame, k: int, least_words: int) -> DataFrame:
         from factloom.llm import sets
 
         counts = np.zeros(sets.SKETCH, np.int64)
-        names = ["kind", "doc_id", "key", "line", "cls", "n"]
+        names = ["kind", "doc_id", "key", "line", "cls", "n", "bits"]
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             for i, j in portions(offsets):
@@ -48,71 +47,28 @@ def measured(docs: DataFrame, k: int, least_words: int) -> DataFrame:
                 own = np.repeat(np.arange(j - i), np.diff(at))
                 line, n = np.arange(len(own)) - at[:-1][own], np.diff(first)
                 use = np.flatnonzero(n > 0)
+                bits = np.bitwise_or.reduceat(np.uint64(1) << (tokens & np.uint64(63)), first[use]) if len(use) else np.zeros(0, np.uint64)
                 take = pa.array(i + own[use])
-                cols = [pa.array(np.zeros(len(use), np.int32)), batch.column(0).take(take), batch.column(1).take(take), pa.array(line[use].astype(np.int32)), pa.array(sets.classes(first, tokens)[use].view(np.int64)), pa.array(n[use])]
+                cols = [pa.array(np.zeros(len(use), np.int32)), batch.column(0).take(take), batch.column(1).take(take), pa.array(line[use].astype(np.int32)), pa.array(sets.classes(first, tokens)[use].view(np.int64)), pa.array(n[use]), pa.array(bits.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(cols, names)
         hit = np.flatnonzero(counts)
         nothing = pa.nulls(len(hit), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hit), np.int32)), nothing, nothing, pa.nulls(len(hit), pa.int32()), pa.array(hit), pa.array(counts[hit])], names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hit), np.int32)), nothing, nothing, pa.nulls(len(hit), pa.int32()), pa.array(hit), pa.array(counts[hit]), nothing], names)
 
     rows = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "key", "text")
-    return save(rows.mapInArrow(run, "kind int, doc_id bigint, key bigint, line int, cls bigint, n bigint"), "lines")
-
-
-def may_match(n, pos, i, j, t: int) -> np.ndarray:
-    """Length and positional filter: what stands before, at and after the shared token bounds the intersection."""
-    a, b = n[i], n[j]
-    most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(a - pos[i], b - pos[j]) - 1
-    return (100 * np.minimum(a, b) >= t * np.maximum(a, b)) & (most >= sets.least_common(a, b, t))
-
-
-def met(cells: DataFrame, t: int, first_round: bool) -> DataFrame:
-    """(a, b, n_a, n_b, n): pairs of an earlier class a and a later b, and in how many groups they met.
-
-    cells: (token, cls, n, pos, doc_id, key, line[, open]) in the order of the classes' first lines.
-    """
-    names = ["token", "cls", "n", "pos"] + ["open"] * (not first_round)
-
-    def run(batches):
-        import pyarrow as pa
+    return save(rows.mapInArrow(run, "kind int, doc_id bigint, key bigint, line int, cls bigint, n bigint, bits bigint"), "lines")
 
-        from factloom.llm import lines, sets
 
-        for g in sets.whole_groups(batches, names):
-            n, pos, cls = g["n"].astype(np.int64), g["pos"].astype(np.int64), g["cls"]
-            begin = np.flatnonzero(np.concatenate([[True], g["token"][1:] != g["token"][:-1]]))
-            size = np.diff(np.append(begin, len(n)))
-            start = np.repeat(begin, size)
-            if first_round:
-                # The earliest in the group, else the one just before.
-                j = np.flatnonzero(np.arange(len(n)) > start)
-                i = np.where(lines.may_match(n, pos, start[j], j, t), start[j], j - 1)
-                parts = [(i, j)]
-            else:
-                later = np.flatnonzero(g["open"].astype(bool) & (np.arange(len(n)) > start))
-                many = later - start[later]
-                cuts = np.searchsorted(np.cumsum(many), np.arange(0, many.sum() + 1, 1 << 20))
-                parts = []
-                for lo, hi in zip(cuts, np.append(cuts[1:], len(later)), strict=True):
-                    own, m = later[lo:hi], many[lo:hi]
-                    j = np.repeat(own, m)
-                    parts.append((np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + start[j], j))
-            for i, j in parts:
-                ok = lines.may_match(n, pos, i, j, t)
-                i, j = i[ok], j[ok]
-                cols = (cls[i], cls[j], n[i], n[j])
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "na", "nb"])
-
-    order = cells.repartition("token").sortWithinPartitions("token", F.col("doc_id").asc_nulls_first(), "key", "line", "cls")
-    rows = order.select(*names).mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint")
-    return rows.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("n"))
-
-
-def enough(pairs: DataFrame, t: int) -> DataFrame:
-    """Count filter: of two sets that reach t, the prefixes share at least so many tokens."""
-    least = F.expr(f"({t} * (na + nb) + {99 + t}) div {100 + t}")
-    outside = [F.expr(f"({t} * {c} + 99) div 100") - 1 for c in ("na", "nb")]
-    return pairs.where(F.col("n") >= least - F.greatest(*outside))
+def later_in(first: np.ndarray, tokens: np.ndarray, place: list, t: int) -> set[int]:
+    """Which of the sets tokens[first[i]:first[i + 1]] reach t with one of an earlier place."""
+    order = np.zeros(len(place), np.int64)
+    order[sorted(range(len(place)), key=place.__getitem__)] = np.arange(len(place))
+    gone = np.zeros(len(place), bool)
+    for x, y in jaccard.meetings(first, tokens, t, lambda a, b: ~gone[np.where(order[a] > order[b], a, b)]):
+        late = x if order[x] > order[y] else y
+        if not gone[late] and jaccard.reaches(tokens[first[x] : first[x + 1]], tokens[first[y] : first[y + 1]], t):
+            gone[late] = True
+    return set(np.flatnonzero(gone).tolist())
 
 
 def later_matches(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -120,34 +76,50 @@ def later_matches(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int =
     found = measured(docs, k, least_words)
     rows = found.where("kind = 0").drop("kind")
     level = sets.read_levels(found.where("kind = 1").select(F.col("cls").alias("bucket"), "n"))
-    first = rows.groupBy("cls").agg(F.min(F.struct("doc_id", "key", "line")).alias("f"), F.count("*").alias("times"))
-    first = save(first.select("cls", "times", "f.doc_id", "f.key", "f.line"), "line-classes")
+    first = rows.groupBy("cls").agg(F.min(F.struct("doc_id", "key", "line")).alias("f"), F.count("*").alias("times"), F.min("bits").alias("bits"), F.min("n").alias("n"))
+    first = save(first.select("cls", "times", "n", "f.doc_id", "f.key", "f.line", "bits"), "line-classes")
     cells = sets.survivors(sets.prefixes(keyed(docs).select("text"), k, t, level, True, least_words), "line-prefixes")
-    cells = save(cells.join(first.drop("times"), "cls"), "line-cells")
-
+    signs = jaccard.signed(cells).drop("size").join(first.select("cls", F.col("bits").alias("b0")), "cls")
+    signs = signs.withColumns({c: F.lit(0).cast("long") for c in jaccard.WHOLE[1:]})
+    edges = save(jaccard.families(cells.join(signs, "cls"), t), "line-edges")
+    nodes = edges.select(F.col("a").alias("node")).unionAll(edges.select("b")).distinct()
+    family = save(components(edges, nodes).select(F.col("node").alias("cls"), F.col("component").alias("family")).join(first, "cls"), "line-families")
+    asked = save(family.groupBy("key").agg(F.collect_list(F.struct("cls", "line")).alias("asked")), "line-asked")
     ship(docs.sparkSession)
-    asked = first.join(cells.select("cls").distinct(), "cls", "left_semi")
-    asked = asked.groupBy("key").agg(F.collect_list(F.struct("cls", "line")).alias("asked"))
-    texts = packed(keyed(docs).select("key", "text"), ["key"]).join(asked, "key")
 
     def cut(batches):
         import pyarrow as pa
         import zstandard
 
-        unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out: list[tuple[int, bytes]] = []
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 parts = unpack(text).split(b"\n")
-                out.extend((x["cls"], pack(parts[x["line"]])) for x in wanted)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["cls", "packed"])
-
-    units = texts.select("packed", "asked").mapInArrow(cut, "cls bigint, packed binary").groupBy("cls").agg(F.first("packed").alias("packed"))
-    units = save(units, "line-texts")
-    once = save(sets.checked(enough_first(met(cells, t, True), t), units, k, t).select("b").distinct(), "line-matches")
-    still = cells.join(once.withColumnRenamed("b", "cls").withColumn("open", F.lit(0)), "cls", "left").withColumn("open", F.coalesce("open", F.lit(1)))
-    twice = save(sets.checked(enough(met(still, t, False), t), units, k, t).select("b").distinct(), "line-matches")
-    late = once.unionByName(twice).distinct().select(F.col("b").alias("cls"), F.lit(True).alias("late"))
+                out.extend((x["cls"], parts[x["line"]]) for x in wanted)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["cls", "unit"])
+
+    units = sets.texts_of(docs, asked).mapInArrow(cut, "cls bigint, unit binary").groupBy("cls").agg(F.first("unit").alias("unit"))
+    groups = sets.dealt(family.select("cls", "family", F.col("n").alias("size")), t)
+    groups = groups.join(units, "cls").join(family.select("cls", "doc_id", "key", "line"), "cls")
+
+    def run(batches):
+        import pyarrow as pa
+
+        from factloom.llm import lines, sets
+
+        for rows_ in sets.whole_rows(batches):
+            first_, tokens = sets.sets_of([r[2] for r in rows_], k)
+            cuts = np.array([0, *(i for i in range(1, len(rows_)) if rows_[i][0] != rows_[i - 1][0]), len(rows_)])
+            place = [(r[3] is not None, r[3] or 0, r[4], r[5]) for r in rows_]
+            out = [rows_[x if place[x] > place[y] else y][1] for x, y in zip(*sets.small_pairs(first_, tokens, cuts, t), strict=True)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if b - a > sets.SMALL:
+                    out += [rows_[a + x][1] for x in lines.later_in(first_[a : b + 1] - first_[a], tokens[first_[a] : first_[b]], place[a:b], t)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["cls"])
+
+    dealt = groups.select("group", "cls", "unit", "doc_id", "key", "line").repartition("group").sortWithinPartitions("group", "cls")
+    late = save(dealt.mapInArrow(run, "cls bigint").distinct(), "line-matches").withColumn("late", F.lit(True))
     goes = first.join(late, "cls", "left").where("late or times > 1")
     goes = goes.select("cls", F.coalesce("late", F.lit(False)).alias("late"), F.struct("doc_id", "key", "line").alias("f"))
     gone = rows.join(goes, "cls").where(F.col("late") | ~F.struct("doc_id", "key", "line").eqNullSafe(F.col("f")))
@@ -163,46 +135,14 @@ def dedup(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = LEAST_W
     """docs with the later matches cut from text; with report=True instead doc_id, n_lines, n_removed, kept_sha256."""
     gone = later_matches(docs, k, t, least_words)
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key"), F.col("lines").alias("_gone"))
-    rows = keyed(docs.withColumn("_null", F.col("text").isNull())).withColumnRenamed("key", "_key") if "key" not in docs.columns else keyed(docs.withColumnRenamed("key", "_own").withColumn("_null", F.col("text").isNull())).withColumnRenamed("key", "_key")
-    keep = [c for c in rows.columns if c != "text"]
-    joined = packed(rows, keep).join(gone, (F.col("doc_id").cast("bigint").eqNullSafe(F.col("_gone_id"))) & (F.col("_key") == F.col("_gone_key")), "left")
-    back = [c if c != "key" else "_own" for c in docs.columns]
-    others = [c for c in back if c != "text"]
-    joined = joined.select(*others, "_null", "packed", "_gone")
-    named = ["doc_id"] if report else others
-    at = [others.index(c) for c in named]
-    hold = len(others)
-
-    def run(batches):
-        import hashlib
-
-        import pyarrow as pa
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            texts, figures = [], []
-            for null, text, lines_ in zip(*(batch.column(hold + i).to_pylist() for i in range(3)), strict=True):
-                parts = unpack(text).split(b"\n")
-                drop = set(lines_ or ())
-                kept = b"\n".join(p for i, p in enumerate(parts) if i not in drop)
-                if report:
-                    figures.append((len(parts), len(drop), hashlib.sha256(kept).hexdigest()))
-                else:
-                    texts.append(None if null else kept.decode())
-            cols = [batch.column(i) for i in at]
-            if report:
-                cols += [pa.array([f[0] for f in figures], pa.int64()), pa.array([f[1] for f in figures], pa.int64()), pa.array([f[2] for f in figures], pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, [*named, "n_lines", "n_removed", "kept_sha256"])
-            else:
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(texts, pa.string())], [*named, "text"])
-
-    kinds = dict(joined.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in named) + (", n_lines bigint, n_removed bigint, kept_sha256 string" if report else ", `text` string")
-    out = joined.mapInArrow(run, schema)
-    if report:
-        return out
-    return out.select(*[F.col(b).alias(c) for b, c in zip(back, docs.columns, strict=True)])
+    rows = docs.withColumn("_key", text_key(F.col("text")))
+    joined = rows.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_gone_id")) & (F.col("_key") == F.col("_gone_key")), "left")
+    lines_of = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    stays = F.array_join(F.filter(lines_of, lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    kept = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(stays)
+    if not report:
+        return joined.select(*[kept.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return joined.select("doc_id", F.size(lines_of).cast("long").alias("n_lines"), F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"), F.sha2(F.coalesce(kept, F.lit("")), 256).alias("kept_sha256"))
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ def unit_sets(data: np.ndarray, offsets: np.ndarray, k: int, level: np.ndarray |
     """
     data = rolling.LOWER[data]
     starts, ends, first = rolling.words(data, offsets)
-    hashes = rolling.span(rolling.sums(data), starts, ends)
+    hashes = rolling.word_hashes(data, starts, ends)
     tokens, at = rolling.shingles(hashes, first, k)
     own = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
     if least_words > 1:
@@ -43,7 +43,16 @@ def unit_sets(data: np.ndarray, offsets: np.ndarray, k: int, level: np.ndarray |
     key = tokens >> np.uint64(6)
     if level is not None:
         key = key | (level[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58))
-    order = np.lexsort((tokens, key, own))
+    # One sort of 20 bits of the unit and 44 of the key; where that leaves a tie of different tokens, the full one.
+    order = None
+    if len(offsets) <= 1 << 20:
+        short = own.astype(np.uint64) << np.uint64(44) | key >> np.uint64(20)
+        order = np.argsort(short)
+        short, there = short[order], tokens[order]
+        if ((short[1:] == short[:-1]) & (there[1:] != there[:-1])).any():
+            order = None
+    if order is None:
+        order = np.lexsort((tokens, key, own))
     tokens, own = tokens[order], own[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (own[1:] != own[:-1])
@@ -83,7 +92,7 @@ def read_levels(sketch: DataFrame) -> np.ndarray:
 
 
 def prefixes(rows: DataFrame, k: int, t: int, level: np.ndarray, lines: bool, least_words: int = 1) -> DataFrame:
-    """(token, cls, n, pos): the prefix of every class; a task gives a class once (in a memo of bounded size)."""
+    """(token, cls, at): the prefix of every class, at = n << 32 | pos; a task gives a class once (in a memo of bounded size)."""
     spark = rows.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(level)
@@ -112,10 +121,10 @@ def prefixes(rows: DataFrame, k: int, t: int, level: np.ndarray, lines: bool, le
                 size = np.where(fresh, sets.prefix_length(n, t), 0)
                 own = np.repeat(np.arange(len(n)), size)
                 pos = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-                cols = (tokens[first[own] + pos].view(np.int64), cls[own].view(np.int64), n[own].astype(np.int32), pos.astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["token", "cls", "n", "pos"])
+                cols = (tokens[first[own] + pos].view(np.int64), cls[own].view(np.int64), n[own] << 32 | pos)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["token", "cls", "at"])
 
-    return rows.select("text").mapInArrow(run, "token bigint, cls bigint, n int, pos int")
+    return rows.select("text").mapInArrow(run, "token bigint, cls bigint, at bigint")
 
 
 def whole_groups(batches, names, key: str = "token"):
@@ -137,64 +146,124 @@ def whole_groups(batches, names, key: str = "token"):
 
 
 def survivors(rows: DataFrame, name: str) -> DataFrame:
-    """The prefix rows of tokens that two classes or more share, each class once a token."""
+    """(token, cls, n, pos, met): the prefix rows of tokens that two classes or more share, each class once a token; met is their number."""
 
     def run(batches):
         import pyarrow as pa
 
         from factloom.llm import sets
 
-        names = ["token", "cls", "n", "pos"]
-        for g in sets.whole_groups(batches, names):
-            new = np.ones(len(g["token"]), bool)
-            new[1:] = (g["token"][1:] != g["token"][:-1]) | (g["cls"][1:] != g["cls"][:-1])
-            g = {c: v[new] for c, v in g.items()}
-            begin = np.flatnonzero(np.concatenate([[True], g["token"][1:] != g["token"][:-1]]))
-            size = np.diff(np.append(begin, len(g["token"])))
+        for g in sets.whole_groups(batches, ["token", "cls", "at"]):
+            token, cls, at = g["token"], g["cls"], g["at"]
+            again = token[1:] == token[:-1]
+            shared = np.zeros(len(token), bool)
+            shared[1:] |= again
+            shared[:-1] |= again
+            token, cls, at = token[shared], cls[shared], at[shared]
+            order = np.lexsort((cls, token))
+            token, cls, at = token[order], cls[order], at[order]
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
+            token, cls, at = token[new], cls[new], at[new]
+            begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
+            size = np.diff(np.append(begin, len(token)))
             keep = np.repeat(size > 1, size)
-            yield pa.RecordBatch.from_arrays([pa.array(g[c][keep]) for c in names], names)
+            cols = (token[keep], cls[keep], (at[keep] >> 32).astype(np.int32), (at[keep] & 0xFFFFFFFF).astype(np.int32), np.repeat(size, size)[keep].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["token", "cls", "n", "pos", "met"])
 
-    return save(rows.repartition("token").sortWithinPartitions("token", "cls").mapInArrow(run, rows.schema), name)
+    dealt = rows.repartition("token").sortWithinPartitions("token")
+    return save(dealt.mapInArrow(run, "token bigint, cls bigint, n int, pos int, met int"), name)
 
 
-def checked(pairs: DataFrame, units: DataFrame, k: int, t: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets truly reach t. units: (cls, packed) zstandard bytes of one unit's text."""
-    ship(pairs.sparkSession)
-    both = pairs.select("a", "b").join(units.select(F.col("cls").alias("a"), F.col("packed").alias("pa")), "a")
-    both = both.join(units.select(F.col("cls").alias("b"), F.col("packed").alias("pb")), "b").select("a", "b", "pa", "pb")
+def texts_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(packed, asked): the texts that asked (key, asked) names."""
+    from factloom.llm.suffixes import keyed, packed
 
-    def run(batches):
-        import pyarrow as pa
-        import zstandard
+    return packed(keyed(docs).select("key", "text"), ["key"]).join(asked, "key").select("asked", "packed")
+
+
+def in_common(first: np.ndarray, tokens: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of pairs of sets, a million tokens of pairs in one sort."""
+    size = (first[a + 1] - first[a]) + (first[b + 1] - first[b])
+    out = np.zeros(len(a), np.int64)
+    for rows in np.split(np.arange(len(a)), np.flatnonzero(np.diff(np.cumsum(size) >> 20)) + 1) if len(a) else []:
+        sides = []
+        for x in (a[rows], b[rows]):
+            n = first[x + 1] - first[x]
+            sides.append((np.repeat(np.arange(len(rows)), n), tokens[np.repeat(first[x] - (np.cumsum(n) - n), n) + np.arange(n.sum())]))
+        own, held = (np.concatenate([s[i] for s in sides]) for i in (0, 1))
+        order = np.lexsort((held, own))
+        own, held = own[order], held[order]
+        out[rows] = np.bincount(own[1:][(held[1:] == held[:-1]) & (own[1:] == own[:-1])], minlength=len(rows))
+    return out
+
+
+#: Groups of up to so many sets are settled together, every pair of theirs counted; larger ones go through a tree.
+SMALL = 16
 
-        from factloom.llm import sets
 
-        unpack = zstandard.ZstdDecompressor().decompress
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                a, b = (batch.column(i).to_pylist() for i in (0, 1))
-                texts = dict(zip(a, batch.column(2).to_pylist(), strict=True)) | dict(zip(b, batch.column(3).to_pylist(), strict=True))
-                sets_of: dict = {}
+def small_pairs(first: np.ndarray, tokens: np.ndarray, cuts: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a, b) of sets that reach t, within groups cuts[i]:cuts[i + 1] of up to SMALL sets."""
+    size = np.diff(cuts)
+    few = size <= SMALL
+    rows = np.flatnonzero(np.repeat(few, size))
+    i, j = within(size[few])
+    a, b = rows[i], rows[j]
+    n = np.diff(first)
+    near = 100 * np.minimum(n[a], n[b]) >= t * np.maximum(n[a], n[b])
+    a, b = a[near], b[near]
+    both = in_common(first, tokens, a, b)
+    good = 100 * both >= t * (n[a] + n[b] - both)
+    return a[good], b[good]
+
+
+#: What one task holds at most, in tokens; a set counts as LEAST_SIZE at least, which bounds a group's pairs too.
+GROUP, LEAST_SIZE = 2_000_000, 500
+
+
+def dealt(members: DataFrame, t: int) -> DataFrame:
+    """(cls, group): groups in which every two members of a family whose sizes may meet are together.
+
+    members: (cls, family, size). A family of up to GROUP tokens is one group. A larger one is parted by size: in
+    steps of t per cent, a set can only meet those of its own and the next step, so each step and the next make a
+    group; if that is too large as well, it is dealt to chunks and every two chunks make a group.
+    """
+    weight = F.greatest(F.col("size"), F.lit(LEAST_SIZE))
+    total = members.groupBy("family").agg(F.sum(weight).alias("tokens"))
+    rows = members.join(total, "family")
+    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / t)) + 1e-9).cast("int")
+    steps = F.when(F.col("tokens") > GROUP, F.array(step, step - 1)).otherwise(F.array(F.lit(-9)))
+    rows = rows.select("cls", "size", "family", F.explode(steps).alias("step"))
+    many = rows.groupBy("family", "step").agg(F.ceil(F.sum(weight) / GROUP).cast("int").alias("chunks"))
+    rows = rows.join(many, ["family", "step"]).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return rows.select("cls", F.xxhash64("family", "step", F.least("own", "other"), F.greatest("own", "other")).alias("group"))
+
+
+def sets_of(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, tokens) of many texts, some at a time."""
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
+    firsts, parts, at = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)], 0
+    for i, j in portions(offsets):
+        first, tokens = unit_sets(np.frombuffer(b"".join(texts[i:j]), np.uint8), offsets[i : j + 1] - offsets[i], k)
+        firsts.append(first[1:] + at)
+        parts.append(tokens)
+        at += len(tokens)
+    return np.concatenate(firsts), np.concatenate(parts)
+
+
+def whole_rows(batches, key: int = 0, most: int = 1 << 20, text: int = 2):
+    """Lists of rows that end where a group ends; small groups come together."""
+    held, size = [], 0
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and size > most and row[key] != held[-1][key]:
+                yield held
                 held, size = [], 0
-                for c, p in [*texts.items(), (None, None)]:
-                    if c is not None:
-                        held.append((c, unpack(p)))
-                        size += len(held[-1][1])
-                    if held and (c is None or size > 2 << 20):
-                        offs = np.concatenate([[0], np.cumsum([len(x[1]) for x in held])])
-                        first, tokens = sets.unit_sets(np.frombuffer(b"".join(x[1] for x in held), np.uint8), offs, k)
-                        for i, (own, _) in enumerate(held):
-                            sets_of[own] = tokens[first[i] : first[i + 1]]
-                        held, size = [], 0
-                good = []
-                for x, y in zip(a, b, strict=True):
-                    p, q = sets_of[x], sets_of[y]
-                    both_ = len(np.intersect1d(p, q, assume_unique=True))
-                    good.append(100 * both_ >= t * (len(p) + len(q) - both_))
-                yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    return both.mapInArrow(run, "a bigint, b bigint")
+            held.append(row)
+            size += len(row[text])
+    if held:
+        yield held
 
 
 def within(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

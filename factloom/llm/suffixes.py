@@ -320,8 +320,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
 
 def keyed(docs: DataFrame) -> DataFrame:
     """Adds key: a hash of the text, the same for equal texts."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.withColumn("text", text).withColumn("key", F.xxhash64(F.length(text.cast("binary")), text))
+    return docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", text_key(F.col("text")))
+
+
+def text_key(text):
+    text = F.coalesce(text, F.lit(""))
+    return F.xxhash64(F.length(text.cast("binary")), text)
 
 
 def unions(spans) -> list[tuple[int, int]]:

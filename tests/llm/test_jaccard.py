@@ -76,13 +76,31 @@ def test_bounds_keep_every_pair():
             assert len(p & q) >= jaccard.needed(np.int64(len(a)), np.int64(len(b)), 85)
 
 
-def test_tree_equals_all_pairs():
+def test_linked_equals_all_pairs():
     rng = np.random.default_rng(2)
-    base = rng.integers(0, 2**63, (5, 4), dtype=np.uint64)
-    n = np.sort(rng.integers(20, 200, 300))
-    bits = base[rng.integers(0, 5, 300)] & ~(np.uint64(1) << rng.integers(0, 64, (300, 4), dtype=np.uint64))
-    spare, comp = rng.integers(0, 3, 300), rng.integers(0, 40, 300)
-    i, j = np.triu_indices(300, 1)
-    ok = jaccard.fits(n, bits, spare, i, j, 85) & (comp[i] != comp[j])
-    got = jaccard.Tree(n, bits, spare, comp).pairs(85)
-    assert set(zip(i[ok], j[ok])) == set(zip(*got)) and ok.sum() > 50
+    for turn in range(20):
+        bases = [rng.integers(0, 2**63, rng.integers(1, 300), dtype=np.uint64) for _ in range(4)]
+        found = []
+        for _ in range(80):
+            base = bases[rng.integers(0, 4)]
+            keep = base[rng.random(len(base)) < rng.choice([1.0, 0.97, 0.9])]
+            found.append(np.unique(np.concatenate([keep, rng.integers(0, 2**63, rng.integers(0, 5), dtype=np.uint64)])))
+        found = [s for s in found if len(s)]
+        first = np.concatenate([[0], np.cumsum([len(s) for s in found])])
+        edges = jaccard.linked(first, np.concatenate(found), 85)
+        got, want = jaccard.Union(), jaccard.Union()
+        for a, b in edges:
+            got.join(a, b)
+        for i in range(len(found)):
+            for j in range(i):
+                both = len(np.intersect1d(found[i], found[j]))
+                if 100 * both >= 85 * (len(found[i]) + len(found[j]) - both):
+                    want.join(i, j)
+        assert [got.find(i) for i in range(len(found))] == [want.find(i) for i in range(len(found))]
+
+
+def test_parts_of_a_family_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(sets, "GROUP", 2500)
+    rows = corpus(4)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(map(tuple, jaccard.join(df, 4, 85).collect())) == brute(rows, 4, 85)

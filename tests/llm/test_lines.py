@@ -55,6 +55,15 @@ def test_equals_brute_force(spark, seed, t):
     assert report == {d: (n, hashlib.sha256(x.encode()).hexdigest()) for d, (x, n) in want.items()}
 
 
+def test_parts_of_a_family_lose_nothing(spark, monkeypatch):
+    from factloom.llm import sets
+
+    monkeypatch.setattr(sets, "GROUP", 2000)
+    rows = corpus(5)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert {r["doc_id"]: r["text"] or "" for r in lines.dedup(df).collect()} == {d: x for d, (x, _) in brute(rows, 5, 80, 5).items()}
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(None, "a b c d e"), (1, "a b c d e\nA B  C d e"), (1, "a b c d e\nA B  C d e"), (2, "x\nx")], "doc_id bigint, text string")
     assert sorted((r["doc_id"] or 0, r["text"]) for r in lines.dedup(df).collect()) == [(0, "a b c d e"), (1, ""), (1, ""), (2, "x\nx")]
