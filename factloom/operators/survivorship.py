@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from factloom.functions.text import plausible_number
 
 # Who may rule an entity out, and by which flags.
-HUMAN = ["adl_employee_feedback", "operator"]
+HUMAN = ["employee_feedback", "operator"]
 EXCLUDING_SOURCES = [*HUMAN, "web_research"]
 EXCLUDING_FLAGS = ["not_ic", "closed"]
 # Sources ranked below all others unless a rule names them, and the bases that lift them.
-WEB_SOURCES = ["tako_ai_search", "astra_manual_web_lookup", "web_research"]
+WEB_SOURCES = ["ai_search", "manual_web_lookup", "web_research"]
 WEB_BASES = ["web_verified", "web_primary"]
 MONITOR_FIX = "monitor_fix"
 

@@ -113,7 +113,7 @@ left join flag g on g.entity = f.entity and g.no = 1
 left join (select entity, count(*) as n, count(distinct source) as m from flags group by 1) k on k.entity = f.entity
 where f.entity not in (select entity from gone) group by f.entity""")
 def golden_excluded(spark, sf):
-    rules = Rules(RULES.default, RULES.fields | {"existence_flag": ["adl_employee_feedback", "operator", "basis:web_verdict", "basis:advisory"]})
+    rules = Rules(RULES.default, RULES.fields | {"existence_flag": ["employee_feedback", "operator", "basis:web_verdict", "basis:advisory"]})
     return survivorship.golden(_flagged(spark, sf), rules, ["status", "existence_flag"])
 
 
@@ -269,7 +269,7 @@ def human_carry_forward(spark, sf):
     """People's facts join every rebuild and keep rows that no list has."""
     human = table(spark, sf, "customer").where("c_custkey % 10 = 0").select(F.col("c_custkey").alias("entity"), F.lit("status").alias("field"), F.lit("HOLD").alias("value"), F.lit("operator").alias("source"), F.lit("operator").alias("source_class"), F.lit("").alias("retrieved"), F.lit(0).cast("long").alias("ord"))
     facts = order_facts(spark, sf).where("field = 'status'").unionByName(survivorship.facts(human))
-    return survivorship.golden(facts, Rules(RULES.default, {"status": ["adl_employee_feedback", "operator", *RULES.fields["status"]]}), ["status"])
+    return survivorship.golden(facts, Rules(RULES.default, {"status": ["employee_feedback", "operator", *RULES.fields["status"]]}), ["status"])
 
 
 @query("dirty_queue", "select distinct o_custkey as entity from orders where year(o_orderdate) = 1998")

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from factloom.operators import incremental, survivorship, tables
 from factloom.operators.survivorship import Rules
 
-RULES = Rules(["adl_employee_feedback", "operator", "site_visit", "class:A", "class:B"], {"name": ["operator", "class:B", "basis:rooftop"], "existence_flag": ["operator", "basis:web_verdict"]})
+RULES = Rules(["employee_feedback", "operator", "site_visit", "class:A", "class:B"], {"name": ["operator", "class:B", "basis:rooftop"], "existence_flag": ["operator", "basis:web_verdict"]})
 FIELDS = ["name", "city", "existence_flag"]
 SCHEMA = "entity bigint, field string, value string, source string, source_class string, retrieved string, asserted_at string, basis string, site_visit boolean, confidence double, row_hash string, ord bigint"
 
 
 def plain_rank(f, order):
-    human, n = ("adl_employee_feedback", "operator"), len(order)
-    if f["source"] in ("tako_ai_search", "astra_manual_web_lookup", "web_research"):
+    human, n = ("employee_feedback", "operator"), len(order)
+    if f["source"] in ("ai_search", "manual_web_lookup", "web_research"):
         for i, t in enumerate(order):
             if t == f["source"] or (f["source"] == "web_research" and t == f"basis:{f['basis']}"):
                 return i
@@ -42,10 +42,10 @@ def plain_golden(facts):
         order = RULES.fields.get(field, RULES.default)
         best = min(plain_rank(f, order) for f in rows)
         tied = [f for f in rows if plain_rank(f, order) == best]
-        top = max((f["retrieved"] or "", f["asserted_at"] or "", f["row_hash"] if f["source"] == "adl_employee_feedback" else "") for f in tied)
-        won = next(f for f in tied if (f["retrieved"] or "", f["asserted_at"] or "", f["row_hash"] if f["source"] == "adl_employee_feedback" else "") == top)
+        top = max((f["retrieved"] or "", f["asserted_at"] or "", f["row_hash"] if f["source"] == "employee_feedback" else "") for f in tied)
+        won = next(f for f in tied if (f["retrieved"] or "", f["asserted_at"] or "", f["row_hash"] if f["source"] == "employee_feedback" else "") == top)
         out[e][field] = (won["value"], won["source"])
-    return {e: v for e, v in out.items() if not (v.get("existence_flag", ("",))[0] in ("closed", "not_ic") and v["existence_flag"][1] in ("operator", "adl_employee_feedback", "web_research"))}
+    return {e: v for e, v in out.items() if not (v.get("existence_flag", ("",))[0] in ("closed", "not_ic") and v["existence_flag"][1] in ("operator", "employee_feedback", "web_research"))}
 
 
 def facts(seed, n=900):
@@ -54,7 +54,7 @@ def facts(seed, n=900):
     for i in range(n):
         field = rng.choice(["name", "name", "city", "existence_flag"])
         value = rng.choice(["closed", "active", "not_ic"]) if field == "existence_flag" else rng.choice("uvwxyz")
-        out.append({"entity": rng.randrange(80), "field": field, "value": value, "source": rng.choice(["s1", "s2", "operator", "adl_employee_feedback", "web_research", "tako_ai_search", "monitor_fix"]), "source_class": rng.choice("ABC"), "retrieved": rng.choice(["2024-01-01", "2024-02-01", None]), "asserted_at": rng.choice([None, "t1", "t2"]), "basis": rng.choice(["rooftop", "web_verified", "web_primary", "web_verdict", "street_interpolated", "none", None]), "site_visit": rng.random() < 0.1, "confidence": rng.choice([None, 0.7, 0.8]), "row_hash": f"{i:04d}", "ord": i})
+        out.append({"entity": rng.randrange(80), "field": field, "value": value, "source": rng.choice(["s1", "s2", "operator", "employee_feedback", "web_research", "ai_search", "monitor_fix"]), "source_class": rng.choice("ABC"), "retrieved": rng.choice(["2024-01-01", "2024-02-01", None]), "asserted_at": rng.choice([None, "t1", "t2"]), "basis": rng.choice(["rooftop", "web_verified", "web_primary", "web_verdict", "street_interpolated", "none", None]), "site_visit": rng.random() < 0.1, "confidence": rng.choice([None, 0.7, 0.8]), "row_hash": f"{i:04d}", "ord": i})
     return out
 
 
