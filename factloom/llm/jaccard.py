@@ -33,8 +33,10 @@ from factloom.llm.common import components, portions, save, ship, table, utf8
 from factloom.llm.suffixes import keyed
 
 K, LIKE = 4, 85
-LEAF, FAN, WORDS_OF_BITS, SLICE = 16, 8, 4, 2048
-WHOLE = [f"b{i}" for i in range(WORDS_OF_BITS)]
+#: Words of 64 bits of the bitmap of shared prefix tokens, and of that of all tokens.
+WORDS_OF_BITS, WHOLE_WORDS = 16, 4
+LEAF, FAN, SLICE = 16, 8, 2048
+WHOLE = [f"b{i}" for i in range(WHOLE_WORDS)]
 
 
 def measured(docs: DataFrame, k: int) -> DataFrame:
@@ -53,18 +55,18 @@ def measured(docs: DataFrame, k: int) -> DataFrame:
             for i, j in portions(offsets):
                 first, tokens = sets.unit_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
                 counts += np.bincount((tokens & np.uint64(sets.SKETCH - 1)).astype(np.int64), minlength=sets.SKETCH)
-                bits = np.zeros((j - i, WORDS_OF_BITS), np.uint64)
+                bits = np.zeros((j - i, WHOLE_WORDS), np.uint64)
                 if len(tokens):
                     full, one = np.flatnonzero(np.diff(first) > 0), np.uint64(1) << (tokens & np.uint64(63))
-                    word = tokens >> np.uint64(6) & np.uint64(WORDS_OF_BITS - 1)
-                    for w in range(WORDS_OF_BITS):
+                    word = tokens >> np.uint64(6) & np.uint64(WHOLE_WORDS - 1)
+                    for w in range(WHOLE_WORDS):
                         bits[full, w] = np.bitwise_or.reduceat(np.where(word == w, one, np.uint64(0)), first[full])
                 cols = [pa.array(np.zeros(j - i, np.int32)), batch.column(0)[i:j], batch.column(1)[i:j], pa.array(sets.classes(first, tokens).view(np.int64)), pa.array(np.diff(first))]
-                cols += [pa.array(np.ascontiguousarray(bits[:, w]).view(np.int64)) for w in range(WORDS_OF_BITS)]
+                cols += [pa.array(np.ascontiguousarray(bits[:, w]).view(np.int64)) for w in range(WHOLE_WORDS)]
                 yield pa.RecordBatch.from_arrays(cols, names)
         hit = np.flatnonzero(counts)
         nothing = pa.nulls(len(hit), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hit), np.int32)), nothing, nothing, pa.array(hit), pa.array(counts[hit]), *[nothing] * WORDS_OF_BITS], names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hit), np.int32)), nothing, nothing, pa.array(hit), pa.array(counts[hit]), *[nothing] * WHOLE_WORDS], names)
 
     rows = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "key", "text")
     return save(rows.mapInArrow(run, "kind int, doc_id bigint, key bigint, cls bigint, n bigint, " + ", ".join(f"{c} bigint" for c in WHOLE)), "sets")
