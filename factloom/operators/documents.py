@@ -81,7 +81,8 @@ def quote_pairs(quotes: DataFrame, pages: DataFrame, quote: str, page: str, gram
     """Pairs of a quote and a page that holds it word for word, white space aside.
 
     Every page that holds a quote holds the quote's rarest run of `gram` words. That run is the join key, so a
-    quote meets the pages of one rare run and is then checked as a whole. Shorter quotes use their first word run.
+    quote meets the pages of one rare run and is then checked as a whole. Quotes with fewer than `gram` inner words
+    meet pages by single words (short_quotes).
     """
     q = quotes.withColumn("_q", squeeze(F.col(quote))).where("_q <> ''")
     words = F.split("_q", " ")
@@ -96,7 +97,36 @@ def quote_pairs(quotes: DataFrame, pages: DataFrame, quote: str, page: str, gram
     p = pages.withColumn("_p", squeeze(F.col(page))).withColumn("_pw", F.split("_p", " "))
     keys = p.where(F.size("_pw") >= gram).withColumn("_key", F.explode(F.array_distinct(grams(F.col("_pw"), gram)))).drop("_pw")
     met = q.where("_key is not null").join(keys, "_key").where(F.instr("_p", F.col("_q")) > 0)
-    return met.drop("_q", "_w", "_n", "_key", "_p")
+    met = met.drop("_q", "_w", "_n", "_key", "_p")
+    short = q.where("_key is null")
+    if short.isEmpty():
+        return met
+    return met.unionByName(short_quotes(short.select(*quotes.columns, "_q", "_w"), p))
+
+
+def short_quotes(q: DataFrame, p: DataFrame) -> DataFrame:
+    """Pairs of a quote (_q, its words _w) of any length and a page (_p, its words _pw) that holds it.
+
+    A page that holds a quote has a word that is the quote's longest inner word, or, where a quote has no more than
+    two words, that holds the first of them at its end or the last at its start, or the only one anywhere. Such
+    words are looked up among the distinct words of all pages, by the first letters of what they must hold, and
+    pages are met by the words found; each pair that met is checked as a whole, once.
+    """
+    letters = 4
+    first, last = F.element_at("_w", 1), F.element_at("_w", -1)
+    at_end = F.char_length(first) >= F.char_length(last)
+    longest = F.aggregate(F.slice("_w", 2, F.greatest(F.size("_w") - 2, F.lit(0))), F.lit(""), lambda a, x: F.when(F.char_length(x) > F.char_length(a), x).otherwise(a))
+    need = q.select("_q", F.when(F.size("_w") > 2, longest).when(F.size("_w") == 1, first).when(at_end, first).otherwise(last).alias("_need"), F.when(F.size("_w") > 2, "is").when(F.size("_w") == 1, "in").when(at_end, "end").otherwise("start").alias("_how")).distinct()
+    need = need.withColumn("_key", F.when(F.col("_how") == "is", F.concat(F.lit("="), "_need")).otherwise(F.left("_need", F.lit(letters))))
+    p = p.withColumn("_page", F.xxhash64("_p"))  # equal hashes only meet: the whole text decides
+    words = p.select("_page", F.explode(F.array_distinct("_pw")).alias("_word"))
+    # Lookaheads find overlapping runs in one pass over a word, however long.
+    held = F.array_distinct(F.concat(F.array(F.concat(F.lit("="), "_word")), *[F.regexp_extract_all("_word", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in range(1, letters + 1)]))
+    known = words.select("_word").distinct().withColumn("_key", F.explode(held))
+    fits = F.when(F.col("_how") == "is", F.col("_word") == F.col("_need")).when(F.col("_how") == "end", F.endswith("_word", "_need")).when(F.col("_how") == "start", F.startswith("_word", "_need")).otherwise(F.contains("_word", "_need"))
+    hits = known.join(need, "_key").where(fits).select("_q", "_word").distinct()
+    pairs = words.join(hits, "_word").select("_q", "_page").distinct()
+    return q.join(pairs, "_q").join(p, "_page").where(F.instr("_p", F.col("_q")) > 0).drop("_q", "_w", "_p", "_pw", "_page")
 
 
 def passages(docs: DataFrame, size: int, step: int, words: list[str], text: str = "text") -> DataFrame:

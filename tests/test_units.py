@@ -132,3 +132,17 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
     names = entry.queries()
     assert len(names) > 100 and set(entry.oracle_sql()) <= set(names)
+
+
+def test_quotes_of_any_length_are_found(spark):
+    from factloom.operators.documents import quote_pairs
+
+    pages = ["the quick brown fox jumps over the lazy dog and sleeps", "quick", "a  quick\nbrown foxes", "(quick brown fox) über alles", "x y", "", "the lazy dogs over the lazy dog", "the lazy dogs over the lazy dog"]
+    base = pages[0].split()
+    quotes = [" ".join(base[i : i + n]) for n in range(1, 10) for i in range(len(base) - n + 1)]
+    quotes += ["uic", "ck bro", "ick brown fo", "k", "q", "x", "über", "er alle", "the lazy dog", "fox ", " \n", "quick  brown", "zebra", "the the", "k brown foxe", "quick brown", "quick brown", "own fox jumps over th", "e lazy dogs over t", "(", "fox)"]
+    q = spark.createDataFrame(list(enumerate(quotes)), "item_id int, quote string")
+    p = spark.createDataFrame([(i, x) for i, x in enumerate(pages)] + [(99, None)], "doc_id int, page string")
+    flat = lambda x: " ".join(x.split())
+    want = sorted((i, j) for i, x in enumerate(quotes) for j, y in enumerate(pages) if flat(x) and flat(x) in flat(y))
+    assert sorted(tuple(r) for r in quote_pairs(q, p, "quote", "page").select("item_id", "doc_id").collect()) == want
