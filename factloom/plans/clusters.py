@@ -216,7 +216,7 @@ def false_merge(spark, sf):
 @query("greedy_match")
 def greedy_match(spark, sf):
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("control"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("x"))
-    c = table(spark, sf, "customer").where("c_custkey < 100000").select(F.col("c_custkey").alias("entity"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("y"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("entity"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("y"))
     e = s.join(c, "nation").where("abs(x - y) < 400").withColumn("rung", F.when(F.abs(F.col("x") - F.col("y")) < 100, 0).otherwise(1))
     return matching.greedy_one_to_one(e.select("nation", "control", "entity", "rung"), "control", "entity", "rung", ["control", "entity"], "nation")
 

@@ -146,3 +146,11 @@ def test_quotes_of_any_length_are_found(spark):
     flat = lambda x: " ".join(x.split())
     want = sorted((i, j) for i, x in enumerate(quotes) for j, y in enumerate(pages) if flat(x) and flat(x) in flat(y))
     assert sorted(tuple(r) for r in quote_pairs(q, p, "quote", "page").select("item_id", "doc_id").collect()) == want
+
+
+def test_customers_of_any_id_take_part_in_greedy_match(spark, tmp_path):
+    from factloom.plans import load
+
+    spark.sql("select 1L as s_suppkey, 3 as s_nationkey, 10.0D as s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.sql("select 150000L as c_custkey, 3 as c_nationkey, 20.0D as c_acctbal").write.parquet(f"{tmp_path}/customer.parquet")
+    assert [(r["control"], r["entity"]) for r in load()[0]["greedy_match"](spark, str(tmp_path)).collect()] == [(1, 150000)]
