@@ -154,3 +154,10 @@ def test_customers_of_any_id_take_part_in_greedy_match(spark, tmp_path):
     spark.sql("select 1L as s_suppkey, 3 as s_nationkey, 10.0D as s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
     spark.sql("select 150000L as c_custkey, 3 as c_nationkey, 20.0D as c_acctbal").write.parquet(f"{tmp_path}/customer.parquet")
     assert [(r["control"], r["entity"]) for r in load()[0]["greedy_match"](spark, str(tmp_path)).collect()] == [(1, 150000)]
+
+
+def test_parts_of_any_key_take_part_in_recall_rungs(spark, tmp_path):
+    from factloom.plans import load
+
+    spark.sql("select * from values (2L, 'Red Bolt', 'b', 't'), (7L, 'Red Bolt', 'b', 't') as t(p_partkey, p_name, p_brand, p_type)").write.parquet(f"{tmp_path}/part.parquet")
+    assert [(r["control"], r["entity"]) for r in load()[0]["recall_rungs"](spark, str(tmp_path)).collect()] == [(2, 7)]
