@@ -68,3 +68,12 @@ def test_edges(spark):
     df = spark.createDataFrame([(None, "a b c d e"), (1, "a b c d e\nA B  C d e"), (1, "a b c d e\nA B  C d e"), (2, "x\nx")], "doc_id bigint, text string")
     assert sorted((r["doc_id"] or 0, r["text"]) for r in lines.dedup(df).collect()) == [(0, "a b c d e"), (1, ""), (1, ""), (2, "x\nx")]
     assert lines.dedup(df.limit(0)).count() == 0
+
+
+def test_short_lines_equal_brute_force(spark, tmp_path):
+    rows = corpus(4) + [(2001, "Home\nx\nAll rights reserved."), (2003, "home\n\nall  rights reserved.\nrights all reserved."), (2005, "X\nx y\nHOME")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute(rows, 5, 80, 1)
+    assert want[2003] == ("\nrights all reserved.", 2) and want[2005] == ("x y", 2)
+    got = {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in lines.op10_lines(spark, str(tmp_path)).collect()}
+    assert got == {d: (n, hashlib.sha256(x.encode()).hexdigest()) for d, (x, n) in want.items()}
