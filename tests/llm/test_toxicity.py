@@ -59,3 +59,10 @@ def test_scores_do_not_depend_on_neighbours():
     model = toxicity.train(*corpus(1, 120))
     texts, _ = corpus(4, 40)
     assert np.allclose(scored(model, texts), [scored(model, [t])[0] for t in texts])
+
+
+def test_a_long_text_does_not_end_the_sample(spark):
+    docs = spark.range(40).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), if(id % 4 = 0, 5000, 3)) as text")
+    marks = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    texts, labels = toxicity.sample(docs, marks, 100, 20_000, "true")
+    assert len(texts) == 40 and sum(labels) == 20 and max(map(len, texts)) == 200
