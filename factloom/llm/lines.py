@@ -8,9 +8,9 @@ common and the tokens that one of them lacks (jaccard.families). What may match
 meet once, and each class is checked on whole sets against earlier ones, likeliest first, until one matches.
 Large families are parted by size and dealt to chunks that meet in pairs.
 
-Defined cases: lines of fewer than `least_words` words (and empty lines) always stay, which is K where a caller
-does not say and LEAST_WORDS in the query and the pipeline, where shorter lines match as a whole; lines are
-parted by line feeds; null texts stay null; rows that repeat both id and text are one document and fare alike;
+Defined cases: lines of fewer than `least_words` words (and empty lines) always stay: LEAST_WORDS unless told,
+none in the query, where shorter lines match as a whole; lines are parted by line feeds; null texts stay null;
+rows that repeat both id and text are one document and fare alike;
 a null id comes first; an empty table gives an empty result; other columns pass through, whatever their names.
 """
 
@@ -24,7 +24,7 @@ from factloom.llm import jaccard, sets
 from factloom.llm.common import components, portions, save, ship, table, utf8
 from factloom.llm.suffixes import keyed, text_key
 
-K, LIKE, LEAST_WORDS = 5, 80, 1
+K, LIKE, LEAST_WORDS = 5, 80, 5
 
 
 def measured(docs: DataFrame, k: int, least_words: int) -> DataFrame:
@@ -72,7 +72,7 @@ def later_in(first: np.ndarray, tokens: np.ndarray, place: list, t: int) -> set[
     return set(np.flatnonzero(gone).tolist())
 
 
-def later_matches(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = K) -> DataFrame:
+def later_matches(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, key, lines): the numbers of the lines that go; key as keyed() gives it."""
     found = measured(docs, k, least_words)
     rows = found.where("kind = 0").drop("kind")
@@ -132,7 +132,7 @@ def enough_first(pairs: DataFrame, t: int) -> DataFrame:
     return pairs.where(F.col("n") * 20 >= F.least("na", "nb"))
 
 
-def dedup(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = K, report: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = LEAST_WORDS, report: bool = False) -> DataFrame:
     """docs with the later matches cut from text; with report=True instead doc_id, n_lines, n_removed, kept_sha256."""
     gone = later_matches(docs, k, t, least_words)
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key"), F.col("lines").alias("_gone"))
@@ -147,4 +147,4 @@ def dedup(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = K, repo
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup(table(spark, sf_dir, "documents"), least_words=LEAST_WORDS, report=True)
+    return dedup(table(spark, sf_dir, "documents"), least_words=1, report=True)
