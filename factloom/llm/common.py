@@ -44,11 +44,11 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it again: cuts the lineage, survives lost executors."""
+def save(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Writes df as Parquet to the shared folder, in a folder for each value of by, and reads it again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/factloom/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -67,6 +67,41 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0] : offs[-1]], offs - offs[0]
 
 
+def slices(batch, column: int, most: int = 1 << 22):
+    """Parts of an Arrow batch whose texts in that column have at most so many bytes together, or one row."""
+    _, offsets = utf8(batch.column(column))
+    for i, j in portions(offsets, most):
+        yield batch.slice(i, j - i)
+
+
+def release() -> None:
+    """Gives memory that is free but still held back to the system: Python workers live on between tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:
+        pass  # not glibc
+
+
+def mapped(df: DataFrame, run, schema: str) -> DataFrame:
+    """df.mapInArrow(run, schema) with this package on the executors; a worker gives its free memory back at the end of a task."""
+    ship(df.sparkSession)
+
+    def whole(batches):
+        from factloom.llm import common
+
+        try:
+            yield from run(batches)
+        finally:
+            common.release()
+
+    return df.mapInArrow(whole, schema)
+
+
 def portions(offsets: np.ndarray, most: int = (1 << 19) - 64):
     """Row ranges [i, j) of at most that many bytes, or of one row."""
     i, n = 0, len(offsets) - 1

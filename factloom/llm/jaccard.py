@@ -2,10 +2,9 @@
 
 Documents are sets of distinct word shingles. The join goes from coarse to fine, and each step keeps every link:
 
-1. Sets that share a token of their prefixes (sets.py) meet in that token's cell. Sizes, a bitmap of the prefix
-   tokens a set shares with any other and a bitmap of all its tokens bound what two sets can have in common.
-   Sets that may be linked are joined into families; a task gives only the edges that join what it had not
-   joined, so a cell of thousands of near copies gives edges in proportion to its members.
+1. Sets that may be linked are equal in a part of the universe of tokens (sets.part_keys) and meet there. Sizes and
+   bitmaps bound what they have in common; what may be linked is joined into families. A task gives only the edges that
+   join what it had not joined, so thousands of near copies give edges in proportion to their number.
 2. Each family's texts meet once. A signature is a bitmap of a set's tokens, sixteen bits a token. The family's
    sets, ordered by size and signature, are the leaves of a tree whose nodes hold the OR of the bitmaps, the range
    of sizes and the largest number of tokens that fell on bits already set. A dual traversal drops node pairs
@@ -14,12 +13,12 @@ Documents are sets of distinct word shingles. The join goes from coarse to fine,
    parted by size and then to chunks, every two of which meet (sets.py).
 3. Connected components of the links found.
 
-Cells of thousands go through the same tree, over the bitmaps of step 1.
-
 Defined cases: null, empty and blank texts have the empty set and link with nothing (their component is their
 own id); fewer words than k make one shingle; equal sets are one class whatever their number; repeated rows
-give a row each; a null id takes part and gives a null component where it is the smallest alone; an empty
-table gives an empty result; only the id and text columns are read.
+give a row each; a null id takes part and gives a null component where it is the smallest alone; ids are whole
+numbers, and one that is text without a whole number counts as null; an empty table gives an empty result; only
+the id and text columns are read. A text longer than others takes its own size in memory, and some 30 times that
+for its tokens while it is read.
 """
 
 from __future__ import annotations
@@ -29,77 +28,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import sets
-from factloom.llm.common import components, portions, save, ship, table, utf8
+from factloom.llm.common import components, mapped, portions, save, table, utf8
 from factloom.llm.suffixes import keyed
 
 K, LIKE = 4, 85
-#: Words of 64 bits of the bitmap of shared prefix tokens, and of that of all tokens.
-WORDS_OF_BITS, WHOLE_WORDS = 16, 4
 LEAF, FAN, SLICE = 16, 8, 2048
-WHOLE = [f"b{i}" for i in range(WHOLE_WORDS)]
 
 
-def measured(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of kind 0: (id, key, cls, n, b0..); rows of kind 1: (bucket, count) of the sketch, in the same columns."""
-    ship(docs.sparkSession)
+def measured(docs: DataFrame, k: int, t: int) -> DataFrame:
+    """(doc_id, key, cls, n, odd): the class and size of each row's set, and its odd bits (sets.py)."""
 
     def run(batches):
         import pyarrow as pa
 
-        from factloom.llm import jaccard, sets
+        from factloom.llm import sets
 
-        counts = np.zeros(sets.SKETCH, np.int64)
-        names = ["kind", "doc_id", "key", "cls", "n", *jaccard.WHOLE]
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             for i, j in portions(offsets):
                 first, tokens = sets.unit_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
-                counts += np.bincount((tokens & np.uint64(sets.SKETCH - 1)).astype(np.int64), minlength=sets.SKETCH)
-                bits = np.zeros((j - i, WHOLE_WORDS), np.uint64)
-                if len(tokens):
-                    full, one = np.flatnonzero(np.diff(first) > 0), np.uint64(1) << (tokens & np.uint64(63))
-                    word = tokens >> np.uint64(6) & np.uint64(WHOLE_WORDS - 1)
-                    for w in range(WHOLE_WORDS):
-                        bits[full, w] = np.bitwise_or.reduceat(np.where(word == w, one, np.uint64(0)), first[full])
-                cols = [pa.array(np.zeros(j - i, np.int32)), batch.column(0)[i:j], batch.column(1)[i:j], pa.array(sets.classes(first, tokens).view(np.int64)), pa.array(np.diff(first))]
-                cols += [pa.array(np.ascontiguousarray(bits[:, w]).view(np.int64)) for w in range(WHOLE_WORDS)]
-                yield pa.RecordBatch.from_arrays(cols, names)
-        hit = np.flatnonzero(counts)
-        nothing = pa.nulls(len(hit), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hit), np.int32)), nothing, nothing, pa.array(hit), pa.array(counts[hit]), *[nothing] * WHOLE_WORDS], names)
-
-    rows = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "key", "text")
-    return save(rows.mapInArrow(run, "kind int, doc_id bigint, key bigint, cls bigint, n bigint, " + ", ".join(f"{c} bigint" for c in WHOLE)), "sets")
+                cols = [batch.column(0)[i:j], batch.column(1)[i:j], pa.array(sets.classes(first, tokens).view(np.int64)), pa.array(np.diff(first)), pa.array(sets.odd_bits(first, tokens, t), pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "key", "cls", "n", "odd"])
 
+    rows = keyed(docs).select(sets.whole_number(docs, "doc_id").alias("doc_id"), "key", "text")
+    return save(mapped(rows, run, "doc_id bigint, key bigint, cls bigint, n bigint, odd binary"), "sets")
 
-_COUNT = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
+def met(docs: DataFrame, k: int, t: int) -> DataFrame:
+    """(token, cls): the keys that two classes or more share."""
+    local = sets.LOCAL
 
-def popcount(x: np.ndarray) -> np.ndarray:
-    """Bits set in the last axis of 64-bit words."""
-    if hasattr(np, "bitwise_count"):
-        return np.bitwise_count(x).sum(-1, dtype=np.int64)
-    return _COUNT[np.ascontiguousarray(x).view(np.uint16)].sum(-1, dtype=np.int64)
-
+    def run(batches):
+        import pyarrow as pa
 
-def needed(a, b, t: int):
-    """Least number of common prefix tokens of two sets of a and b tokens that reach t."""
-    return np.maximum(1, sets.least_common(a, b, t) - np.maximum(a - sets.prefix_length(a, t), b - sets.prefix_length(b, t)))
+        from factloom.llm import sets
 
+        known: set[int] = set()
+        for batch in batches:
+            held, size = [], 0
+            data, offsets = utf8(batch.column(0))
+            for i, j in portions(offsets):
+                first, tokens = sets.unit_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
+                cls = sets.classes(first, tokens)
+                row, key = sets.part_keys(first, tokens, t, sets.fresh(cls, known))
+                held.append((cls[row], key))
+                size += len(key)
+                if size > 500_000 or j == len(offsets) - 1:
+                    own, key = sets.local_ties(*(np.concatenate(x) for x in zip(*held, strict=True)), local)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(own.view(np.int64))], ["token", "cls"])
+                    held, size = [], 0
 
-def needed_of_nodes(low_a, low_b, large, t: int):
-    return np.maximum(1, sets.least_common(low_a, low_b, t) - (large - sets.prefix_length(large, t)))
+    return sets.shared(mapped(keyed(docs).select("text"), run, "token bigint, cls bigint"), "token bigint, cls bigint", "met")
 
 
 class Tree:
     """Rows in order of size in nodes of LEAF rows, these in nodes of FAN, up to one root.
 
     bits: a bitmap a row; spare: tokens of the row beyond the bits set; comp: rows of one comp need no pair.
-    prefix: whether the bitmaps are of prefix tokens shared or of the whole sets.
     """
 
-    def __init__(self, n, bits, spare, comp, prefix: bool):
-        self.rows, self.prefix = (n, bits, spare, comp), prefix
+    def __init__(self, n, bits, spare, comp):
+        self.rows = (n, bits, spare, comp)
         self.levels = [self._node(n, n, bits, spare, comp, comp, np.arange(0, len(n), LEAF))]
         while len(self.levels[-1][0]) > 1:
             last = self.levels[-1]
@@ -114,7 +103,7 @@ class Tree:
         step = max(1, (8 << 20) // (8 * bits.shape[1]))
         for k in range(0, len(i), step):
             x, y = i[k : k + step], j[k : k + step]
-            out[k : k + step] = popcount(bits[x] & bits[y]) + np.minimum(spare[x], spare[y])
+            out[k : k + step] = sets.popcount(bits[x] & bits[y]) + np.minimum(spare[x], spare[y])
         return out
 
     def pairs(self, t: int):
@@ -133,11 +122,7 @@ class Tree:
             keep = ~((c0[i] == c1[i]) & (c0[j] == c1[j]) & (c0[i] == c0[j]))
             keep &= (100 * high[i] >= t * low[j]) & (100 * high[j] >= t * low[i])
             i, j = i[keep], j[keep]
-            if self.prefix:
-                least = needed_of_nodes(low[i], low[j], np.maximum(high[i], high[j]), t)
-            else:
-                least = sets.least_common(low[i], low[j], t)
-            keep = self._overlap(bits, spare, i, j) >= least
+            keep = self._overlap(bits, spare, i, j) >= sets.least_common(low[i], low[j], t)
             i, j = i[keep], j[keep]
             if not len(i):
                 continue
@@ -154,91 +139,10 @@ class Tree:
             keep = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= t * np.maximum(n[i], n[j]))
             i, j = i[keep], j[keep]
             most = self._overlap(bits, spare, i, j)
-            keep = most >= (needed(n[i], n[j], t) if self.prefix else sets.least_common(n[i], n[j], t))
+            keep = most >= sets.least_common(n[i], n[j], t)
             yield i[keep], j[keep], most[keep]
 
 
-class Union(dict):
-    """Disjoint sets of whatever is asked for."""
-
-    def find(self, x):
-        root = x
-        while (up := self.get(root, root)) != root:
-            root = up
-        while self.get(x, x) != root:
-            self[x], x = root, self.get(x, x)
-        return root
-
-    def join(self, x, y) -> bool:
-        x, y = self.find(x), self.find(y)
-        if x != y:
-            self[max(x, y)] = min(x, y)
-        return x != y
-
-
-def signed(cells: DataFrame) -> DataFrame:
-    """(cls, size, shared, w0..): how many prefix tokens a class shares with any other, and their bitmap."""
-    bit = F.col("token").bitwiseAND(64 * WORDS_OF_BITS - 1)
-    one = F.expr("shiftleft(1L, cast(token & 63 as int))")
-    words = [F.bit_or(F.when(F.shiftright(bit, 6) == i, one).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(WORDS_OF_BITS)]
-    return cells.groupBy("cls").agg(F.max("n").alias("size"), F.count("*").alias("shared"), *words)
-
-
-def families(cells: DataFrame, t: int) -> DataFrame:
-    """Edges (a, b) whose components hold every link. cells: (token, cls, n, pos, shared, b0.., w0..).
-
-    Sets of a and b tokens that share one at positions i and j of the global order have at most
-    min(i, j) + 1 + min(a - i, b - j) - 1 in common.
-    """
-    ship(cells.sparkSession)
-    names = ["token", "cls", "n", "pos", "shared", *WHOLE, *(f"w{i}" for i in range(WORDS_OF_BITS))]
-
-    def run(batches):
-        import pyarrow as pa
-
-        from factloom.llm import jaccard
-
-        union = jaccard.Union()
-        for g in sets.whole_groups(batches, names):
-            order = np.lexsort((g["w0"], g["n"], g["token"]))
-            g = {c: v[order] for c, v in g.items()}
-            n, pos, cls, whole = g["n"].astype(np.int64), g["pos"].astype(np.int64), g["cls"], np.stack([g[c] for c in WHOLE], 1).view(np.uint64)
-            bits = np.stack([g[f"w{i}"] for i in range(WORDS_OF_BITS)], 1).view(np.uint64)
-            spare = g["shared"].astype(np.int64) - popcount(bits)
-            if len(union) > 1_000_000:
-                union.clear()
-            kinds, back = np.unique(cls, return_inverse=True)
-            root = np.array([union.find(c) for c in kinds.tolist()], np.int64)[back]
-            begin = np.flatnonzero(np.concatenate([[True], g["token"][1:] != g["token"][:-1]]))
-            size = np.diff(np.append(begin, len(n)))
-            out = []
-
-            def joined(i, j):
-                least = sets.least_common(n[i], n[j], t)
-                near = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= least
-                near &= popcount(whole[i] ^ whole[j]) <= n[i] + n[j] - 2 * least
-                for a, b in zip(cls[i[near]].tolist(), cls[j[near]].tolist(), strict=True):
-                    if union.join(a, b):
-                        out.append((a, b))
-
-            rows = np.flatnonzero(np.repeat(size <= LEAF, size))
-            i, j = sets.within(size[size <= LEAF])
-            i, j = rows[i], rows[j]
-            ok = (root[i] != root[j]) & (100 * n[i] >= t * n[j])
-            i, j = i[ok], j[ok]
-            ok = popcount(bits[i] & bits[j]) + np.minimum(spare[i], spare[j]) >= jaccard.needed(n[i], n[j], t)
-            joined(i[ok], j[ok])
-            for at, s in zip(begin[size > LEAF], size[size > LEAF], strict=True):
-                c = slice(at, at + s)
-                now = np.array([union.find(x) for x in cls[c].tolist()], np.int64)
-                if (now != now[0]).any():
-                    for i, j, _ in jaccard.Tree(n[c], bits[c], spare[c], now, True).pairs(t):
-                        joined(i + at, j + at)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    return cells.select(*names).repartition("token").sortWithinPartitions("token").mapInArrow(run, "a bigint, b bigint").distinct()
-
-
 def signatures(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bitmaps of sixteen bits a token of the largest set, and the tokens beyond the bits set."""
     n = np.diff(first)
@@ -247,7 +151,7 @@ def signatures(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
     own = np.repeat(np.arange(len(n)), n)
     at = (tokens & np.uint64(width - 1)).astype(np.int64)
     np.bitwise_or.at(bits, (own, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
-    return bits, n - popcount(bits)
+    return bits, n - sets.popcount(bits)
 
 
 def meetings(first: np.ndarray, tokens: np.ndarray, t: int, wanted):
@@ -270,7 +174,7 @@ def meetings(first: np.ndarray, tokens: np.ndarray, t: int, wanted):
         bits, spare = signatures(own, at)
         finer = np.lexsort((bits[:, 0], size))
         size = size[finer]
-        for i, j, most in Tree(size, bits[finer], spare[finer], np.arange(len(part)), False).pairs(t):
+        for i, j, most in Tree(size, bits[finer], spare[finer], np.arange(len(part))).pairs(t):
             x, y = part[finer[i]], part[finer[j]]
             use = np.flatnonzero(wanted(x, y))
             for k in use[np.argsort(-most[use] / (size[i[use]] + size[j[use]]), kind="stable")].tolist():
@@ -294,28 +198,23 @@ def linked(first: np.ndarray, tokens: np.ndarray, t: int) -> list[tuple[int, int
 
 def links(docs: DataFrame, found: DataFrame, k: int = K, t: int = LIKE) -> DataFrame:
     """(cls, component) of every class that may be linked to another; found as measured() gives it."""
-    level = sets.read_levels(found.where("kind = 1").select(F.col("cls").alias("bucket"), "n"))
-    cells = sets.survivors(sets.prefixes(keyed(docs).select("text"), k, t, level, lines=False), "prefixes")
-    one = found.where("kind = 0").groupBy("cls").agg(F.min("key").alias("key"), *[F.min(c).alias(c) for c in WHOLE])
-    signs = save(signed(cells).join(one, "cls"), "signatures")
-    edges = save(families(cells.join(signs.drop("key", "size"), "cls"), t), "family-edges")
+    one = found.where("n > 0").dropDuplicates(["cls"])
+    cells = met(docs, k, t).join(one.select("cls", "n", "odd"), "cls").withColumn("pos", F.lit(None).cast("int"))
+    edges = save(sets.families(cells, t), "family-edges")
     nodes = edges.select(F.col("a").alias("node")).unionAll(edges.select("b")).distinct()
-    family = save(components(edges, nodes).select(F.col("node").alias("cls"), F.col("component").alias("family")), "families")
+    family = components(edges, nodes).select(F.col("node").alias("cls"), F.col("component").alias("family"))
+    family = save(family.join(one.select("cls", "doc_id", "key", F.col("n").alias("size")), "cls"), "families")
 
-    asked = save(signs.join(family, "cls").groupBy("key").agg(F.first("cls").alias("asked")), "asked")  # equal texts are of one class
-    units = sets.texts_of(docs, asked).groupBy(F.col("asked").alias("cls")).agg(F.first("packed").alias("packed"))
-    groups = sets.dealt(family.join(signs.select("cls", "size"), "cls"), t)
-    ship(docs.sparkSession)
+    units = save(sets.texts_of(docs, family.select("doc_id", "key", F.col("cls").alias("asked"))), "family-texts")
+    groups = sets.dealt(family, t)
 
     def run(batches):
         import pyarrow as pa
-        import zstandard
 
         from factloom.llm import jaccard, sets
 
-        unpack = zstandard.ZstdDecompressor().decompress
         for rows in sets.whole_rows(batches):
-            first, tokens = sets.sets_of([unpack(r[2]) for r in rows], k)
+            first, tokens = sets.sets_of([r[2].encode() for r in rows], k)
             cuts = np.array([0, *(i for i in range(1, len(rows)) if rows[i][0] != rows[i - 1][0]), len(rows)])
             out = [(rows[x][1], rows[y][1]) for x, y in zip(*sets.small_pairs(first, tokens, cuts, t), strict=True)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -323,16 +222,16 @@ def links(docs: DataFrame, found: DataFrame, k: int = K, t: int = LIKE) -> DataF
                     out += [(rows[a + x][1], rows[a + y][1]) for x, y in jaccard.linked(first[a : b + 1] - first[a], tokens[first[a] : first[b]], t)]
             yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], ["a", "b"])
 
-    rows = groups.join(units, "cls").select("group", "cls", "packed").repartition("group").sortWithinPartitions("group", "cls")
-    good = save(rows.mapInArrow(run, "a bigint, b bigint"), "links")
+    rows = groups.join(units.withColumnRenamed("asked", "cls"), "cls").select("group", "cls", "text")
+    good = save(mapped(rows.repartition("group").sortWithinPartitions("group", "cls"), run, "a bigint, b bigint"), "links")
     return components(good, nodes).select(F.col("node").alias("cls"), "component")
 
 
 def join(docs: DataFrame, k: int = K, t: int = LIKE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row; docs linked by t per cent or more are one component."""
-    found = measured(docs, k)
+    found = measured(docs, k, t)
     known = links(docs, found, k, t)
-    rows = found.where("kind = 0").select("doc_id", "cls", F.col("n").alias("n_shingles"))
+    rows = found.select("doc_id", "cls", F.col("n").alias("n_shingles"))
     empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     rows = rows.where("n_shingles > 0")
     least = rows.groupBy("cls").agg(F.min("doc_id").alias("least")).join(known, "cls", "left").withColumn("component", F.coalesce("component", "cls"))

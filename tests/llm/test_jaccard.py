@@ -62,18 +62,51 @@ def test_edges(spark):
     assert jaccard.join(df.limit(0)).count() == 0
 
 
-def test_bounds_keep_every_pair():
-    rng = random.Random(5)
-    for _ in range(3000):
-        n = rng.randint(1, 60)
-        a = set(range(n))
-        b = set(rng.sample(range(n), rng.randint(max(1, n - 8), n))) | {1000 + i for i in range(rng.randint(0, 8))}
-        if 100 * len(a & b) >= 85 * len(a | b):
-            order = list(a | b)
-            rng.shuffle(order)
-            place = {x: i for i, x in enumerate(order)}
-            p, q = (set(sorted(s, key=place.get)[: sets.prefix_length(len(s), 85)]) for s in (a, b))
-            assert len(p & q) >= jaccard.needed(np.int64(len(a)), np.int64(len(b)), 85)
+def test_ids_null_and_text(spark):
+    df = spark.createDataFrame([(None, "a b c d e"), (7, "a b c d e"), (None, "x y z")], "doc_id bigint, text string")
+    assert sorted(map(tuple, jaccard.join(df).collect()), key=str) == [(7, 2, 7), (None, 1, None), (None, 2, 7)]
+    df = spark.createDataFrame([("12", "a b c d e"), ("x9", "a b c d e")], "doc_id string, text string")
+    assert sorted(map(tuple, jaccard.join(df).collect()), key=str) == [(12, 2, 12), (None, 2, 12)]
+
+
+def test_very_long_text(spark):
+    rng = random.Random(9)
+    words = ["w%d" % rng.randrange(10**6) for _ in range(300_000)]
+    changed = list(words)
+    for i in range(0, 300_000, 200):
+        changed[i] = "other"
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(words[:200_000]))], "doc_id bigint, text string")
+    assert sorted((r["doc_id"], r["component_id"]) for r in jaccard.join(df).collect()) == [(1, 1), (2, 1), (3, 3)]
+
+
+@pytest.mark.parametrize("t", [60, 80, 85, 95])
+def test_keys_and_bits_keep_every_pair(t):
+    import pyarrow as pa
+
+    rng, near = np.random.default_rng(5), 0
+    for _ in range(1500):
+        n = int(rng.choice([rng.integers(1, 20), rng.integers(20, 400)]))
+        own = rng.integers(0, 2**63, n, dtype=np.uint64)
+        less, more = rng.integers(0, max(1, n * (100 - t) // 150) + 1, 2)
+        a, b = np.unique(own), np.unique(np.concatenate([own[: n - less], rng.integers(0, 2**63, more, dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if len(b) == 0 or both == len(a) == len(b) or 100 * both < t * (len(a) + len(b) - both):
+            continue
+        near += 1
+        first, tokens = np.array([0, len(a), len(a) + len(b)]), np.concatenate([a, b])
+        row, key = sets.part_keys(first, tokens, t)
+        assert np.isin(key[row == 0], key[row == 1]).any()
+        signs = sets.Signs(np.diff(first), pa.array(sets.odd_bits(first, tokens, t), pa.binary()))
+        assert signs.near(np.array([0]), np.array([1]), t).all()
+    assert near > 300
+
+
+def test_frequent_keys_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(sets, "FREQUENT", 3)
+    monkeypatch.setattr(sets, "LOCAL", 2)
+    rows = corpus(6)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(map(tuple, jaccard.join(df, 4, 85).collect())) == brute(rows, 4, 85)
 
 
 def test_linked_equals_all_pairs():
@@ -88,7 +121,7 @@ def test_linked_equals_all_pairs():
         found = [s for s in found if len(s)]
         first = np.concatenate([[0], np.cumsum([len(s) for s in found])])
         edges = jaccard.linked(first, np.concatenate(found), 85)
-        got, want = jaccard.Union(), jaccard.Union()
+        got, want = sets.Union(), sets.Union()
         for a, b in edges:
             got.join(a, b)
         for i in range(len(found)):
