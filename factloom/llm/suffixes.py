@@ -4,18 +4,21 @@ A position of a text can start a repeated string of `length` bytes only if the s
 anchor) occurs twice. Every start belongs to exactly one anchor, and the starts of one anchor are consecutive:
 their bytes make a stretch. So repeated strings are found among the stretches of one anchor hash:
 
-1. anchors are counted by hash; those that occur once go (nothing of theirs repeats);
-2. equal stretches are counted; one that occurs twice repeats as a whole, and one copy of it goes on;
-3. the distinct stretches of an anchor hash are sorted by suffix; a start repeats if its longest previous or
-   next factor (the longest common prefix with the nearest smaller or larger position in suffix order) reaches
-   `length`. An anchor hash with over MOST distinct stretches is settled by counting the strings themselves,
-   which needs no group in one task and gives the same result.
+1. stretches are counted by anchor and content, those of one batch of texts before anything is shuffled; an anchor
+   that occurs once goes (nothing of it repeats), a content that occurs twice repeats as a whole, one copy goes on;
+2. the distinct stretches of an anchor hash are sorted by suffix. In suffix order the best earlier match of a start is
+   the previous or the next smaller position, and the best later match the previous or next larger one; the longest
+   common prefixes with these are its longest previous and longest next factor (up to `length`). A start repeats if
+   either reaches `length`. An anchor hash with over MOST distinct stretches is settled by counting the strings
+   themselves, which needs no group in one task and gives the same result.
 
-Texts are told apart by hash and length, so any number of equal texts is one text with a count.
+Equal texts are one text with a count. Texts are told apart by 64 bits of hash, contents by their anchor's 64 bits and 64
+of their own, counted strings by 128; in step 2 bytes are compared.
 
 Defined cases: null counts as empty; texts shorter than `length` keep all; equal texts of at least `length`
 bytes repeat as a whole; repeated rows and ids count as separate texts; an empty table gives an empty result;
-only the id and text columns are read. Matches never cross rows.
+only the id and text columns are read. Matches never cross rows. Texts are read in pieces of PIECE bytes, and
+rows in parts of some megabytes.
 """
 
 from __future__ import annotations
@@ -25,109 +28,96 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import rolling
-from factloom.llm.common import save, ship, table, utf8
+from factloom.llm.common import mapped, save, slices, table, utf8
 
 LENGTH, GRAM = 200, 32
 #: Distinct stretches of one anchor hash that are sorted in one task.
 MOST = 5000
 PIECE = 1 << 20
-SPAN_BITS = 16
 
 
-def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in the order of their suffixes' first `depth` bytes (ties by position), and their ranks; by doubling."""
-    n = len(data)
-    padded = np.concatenate([data.astype(np.int64) + 1, np.zeros(depth + 1, np.int64)])
-    rank, have = padded[:n], 1
-    while True:
-        step = min(have, depth - have)
-        if step <= 0:
-            break
-        later = np.concatenate([rank, np.zeros(step, np.int64)])[step : step + n]
-        key = rank * (max(int(rank.max(initial=0)), int(later.max(initial=0))) + 1) + later
-        _, rank = np.unique(key, return_inverse=True)
-        rank = rank + 1
-        have += step
-    return np.argsort(rank, kind="stable"), rank
+def ranks(data: np.ndarray, length: int) -> list[np.ndarray]:
+    """For sizes 1, 2, 4, .. up to `length` the rank of the string of that size at every position, zeros after the end; by doubling."""
+    rank = data.astype(np.uint64) + np.uint64(1)
+    out = [rank]
+    while 1 << len(out) <= length:
+        if (int(rank.max(initial=0)) + 1) ** 2 >= 1 << 63:
+            _, rank = np.unique(rank, return_inverse=True)
+            out[-1] = rank = rank.astype(np.uint64) + np.uint64(1)
+        have = 1 << len(out) - 1
+        later = np.concatenate([rank, np.zeros(have, np.uint64)])[have : have + len(data)]
+        rank = rank * np.uint64(int(rank.max(initial=0)) + 1) + later
+        out.append(rank)
+    return out
 
 
-def lcp(data: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Longest common prefix of each suffix in a full suffix order with the one before it."""
-    n = len(data)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.arange(n)
-    out, h = np.zeros(n, np.int64), 0
-    for i in range(n):
-        if rank[i]:
-            j = order[rank[i] - 1]
-            while i + h < n and j + h < n and data[i + h] == data[j + h]:
-                h += 1
-            out[rank[i]] = h
-            h = max(0, h - 1)
-        else:
-            h = 0
+def common(level: list[np.ndarray], p: np.ndarray, q: np.ndarray, length: int) -> np.ndarray:
+    """Longest common prefixes of the suffixes at p and q, up to `length`."""
+    n, out = len(level[0]), np.zeros(len(p), np.int64)
+    for i in range(len(level) - 1, -1, -1):
+        # Twice the largest: what doubling has not covered is less than twice as long.
+        for _ in range(2 if i == len(level) - 1 else 1):
+            a, b = p + out, q + out
+            there = (a < n) & (b < n)
+            same = np.zeros(len(p), bool)
+            same[there] = level[i][a[there]] == level[i][b[there]]
+            out[same] += 1 << i
+    return np.minimum(out, length)
+
+
+def nearest_less(value: np.ndarray) -> np.ndarray:
+    """For each place the last place before it with a smaller value, or -1: all places jump at once over what is larger."""
+    out = np.arange(-1, len(value) - 1)
+    todo = np.flatnonzero(out >= 0)
+    while len(todo):
+        todo = todo[value[out[todo]] > value[todo]]
+        out[todo] = out[out[todo]]
+        todo = todo[out[todo] >= 0]
     return out
 
 
-def longest_previous_factor(data: np.ndarray) -> np.ndarray:
-    """For every position the length of the longest string there that also starts earlier.
-
-    In suffix order the best earlier match is the previous or the next smaller position; both are found in one
-    linear pass over the linked order, taking positions from the last to the first.
-    """
-    n = len(data)
-    if n == 0:
-        return np.zeros(0, np.int64)
-    order, _ = suffix_order(data, n)
-    common = lcp(data, order)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.arange(n)
-    before, after = np.arange(-1, n - 1), np.arange(1, n + 1)
-    low = np.concatenate([common, [0]])
-    out = np.zeros(n, np.int64)
-    for i in range(n - 1, -1, -1):
-        r = rank[i]
-        a, b = (low[r] if before[r] >= 0 else 0), (low[after[r]] if after[r] < n else 0)
-        out[i] = max(a, b)
-        if after[r] < n:
-            low[after[r]] = min(a, b)
-            before[after[r]] = before[r]
-        if before[r] >= 0:
-            after[before[r]] = after[r]
-    return out
+def factors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous and longest next factor of each start, up to `length`: the longest string there that also begins at an earlier (a later) start."""
+    level = ranks(data, length)
+    whole, rest = level[-1], length - (1 << len(level) - 1)
+    # Two overlapping ranks order the first `length` bytes; ties stand in order of position.
+    order = np.lexsort((starts, whole[starts + rest] if rest else whole[starts], whole[starts]))
+    place = starts[order]
+    out = []
+    for value in (place, -place):
+        best = np.zeros(len(starts), np.int64)
+        for near in (nearest_less(value), len(value) - 1 - nearest_less(value[::-1])[::-1]):
+            hit = (near >= 0) & (near < len(value))
+            both = np.zeros(len(starts), np.int64)
+            both[hit] = common(level, place[hit], place[near[hit]], length)
+            best = np.maximum(best, both)
+        back = np.empty(len(starts), np.int64)
+        back[order] = best
+        out.append(back)
+    return out[0], out[1]
+
+
+def longest_previous_factor(data: np.ndarray, length: int | None = None) -> np.ndarray:
+    """For every position the length, up to `length`, of the longest string there that also starts earlier."""
+    length = len(data) if length is None else length
+    padded = np.concatenate([data, np.zeros(length, np.uint8)])
+    return np.minimum(factors(padded, np.arange(len(data)), length)[0], len(data) - np.arange(len(data)))
 
 
 def repeated_starts(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each start, whether its string of `length` bytes has an earlier and a later equal among the starts.
-
-    The suffixes are ranked to a power of two below `length` by doubling; two such ranks, overlapping, compare
-    `length` bytes. In runs of equal strings in suffix order, positions ascend: the previous in a run is the
-    previous smaller position, the next the next larger, and the factor with either reaches `length`.
-    """
-    words = np.concatenate([data, np.zeros(8, np.uint8)])
-    rank = np.zeros(len(data), np.uint64)
-    for j in range(8):
-        rank = rank << np.uint64(8) | words[j : j + len(data)].astype(np.uint64)
-    have = 8
-    _, rank = np.unique(rank, return_inverse=True)
-    while have * 2 <= length:
-        later = np.concatenate([rank, np.zeros(have, rank.dtype)])[have : have + len(data)]
-        _, rank = np.unique(rank.astype(np.int64) * (int(rank.max(initial=0)) + 1) + later, return_inverse=True)
-        have *= 2
-    key = rank[starts].astype(np.int64) * (int(rank.max(initial=0)) + 1) + rank[starts + length - have]
-    order = np.argsort(key, kind="stable")
-    same = np.diff(key[order]) == 0
-    earlier, later = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    earlier[order[1:]] = same
-    later[order[:-1]] = same
-    return earlier, later
+    """For each start, whether its string of `length` bytes has an earlier and a later equal among the starts."""
+    previous, following = factors(data, starts, length)
+    return previous >= length, following >= length
 
 
 def stretches(data: np.ndarray, length: int, gram: int):
-    """(first start, last start, anchor hash) of every stretch of one text; strings start within [first, last]."""
+    """(first start, last start, anchor hash, content hash) of every stretch of one text; strings start within [first, last].
+
+    The content hash sums spread hashes of all its grams, so that texts made to collide in a plain sum do not.
+    """
     n = len(data)
     if n < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     width = length - gram + 1
     total = rolling.sums(data)
     places = np.arange(n - gram + 1)
@@ -143,7 +133,10 @@ def stretches(data: np.ndarray, length: int, gram: int):
     least = np.minimum(back[:many], ahead[width - 1 : width - 1 + many])
     anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     new = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    return new, np.concatenate([new[1:], [many]]) - 1, hashes[anchor[new]]
+    last = np.concatenate([new[1:], [many]]) - 1
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * rolling.powers(len(hashes) + 1)[0][: len(hashes)], out=total[1:])
+    return new, last, hashes[anchor[new]], rolling.span(total, new, last + width)
 
 
 def pieces(n: int, length: int, most: int = PIECE):
@@ -157,89 +150,153 @@ def pieces(n: int, length: int, most: int = PIECE):
         i += most - length + 1
 
 
-def _anchors(batches, length: int, gram: int):
+NAMES = ["kind", "h", "s", "key", "lo", "hi", "n"]
+KINDS = "kind int, h bigint, s bigint, key bigint, lo bigint, hi bigint, n bigint"
+
+
+def _rows(kind: int, *cols):
     import pyarrow as pa
 
-    out = []
-    for batch in batches:
-        data, offsets = utf8(batch.column(1))
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        for r in range(batch.num_rows):
-            text = data[offsets[r] : offsets[r + 1]]
-            for i, j in pieces(len(text), length):
-                part = text[i:j]
-                a, b, h = stretches(part, length, gram)
-                if len(a):
-                    content = rolling.span(rolling.sums(part), a, b + length) ^ rolling.mix(h)
-                    out.append((h, content, np.full(len(a), keys[r]), (a + i) << SPAN_BITS | (b - a)))
-            if sum(len(x[0]) for x in out) >= 100_000:
-                yield _rows(pa, out)
-                out = []
-    if out:
-        yield _rows(pa, out)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), kind, np.int32)), *(pa.array(c.view(np.int64)) for c in cols)], NAMES)
 
 
-def _rows(pa, out):
-    cols = [np.concatenate(x) for x in zip(*out, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64) if c.dtype != np.uint64 else c.view(np.int64)) for c in cols], ["h", "s", "key", "at"])
+def _anchors(batches, length: int, gram: int):
+    """Kind 0: a stretch (anchor hash, content hash, key, first start, last start, times); kind 2: a range [lo, hi) that repeats."""
+    for batch in batches:
+        for part in slices(batch, 1):
+            data, offsets = utf8(part.column(1))
+            keys, out = part.column(0).to_numpy(zero_copy_only=False), []
+            for r in range(part.num_rows):
+                text = data[offsets[r] : offsets[r + 1]]
+                for i, j in pieces(len(text), length):
+                    a, b, h, s = stretches(text[i:j], length, gram)
+                    out.append((h, s, np.full(len(a), keys[r]), a + i, b + i))
+            h, s, key, lo, hi = (np.concatenate(x) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 5
+            if not len(h):
+                continue
+            order = np.lexsort((lo, key, s, h))
+            h, s, key, lo, hi = (x[order] for x in (h, s, key, lo, hi))
+            first, size = _runs(h, s)
+            yield _rows(0, h[first], s[first], key[first], lo[first], hi[first], size)
+            again = np.repeat(size > 1, size)
+            yield from _ranges(key[again], lo[again], hi[again] + length)
+
+
+def _runs(*cols) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and lengths of the runs of rows with equal values."""
+    new = np.ones(len(cols[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in cols], 0)
+    first = np.flatnonzero(new)
+    return first, np.diff(np.append(first, len(new)))
+
+
+def _ranges(key, lo, hi):
+    """Rows of kind 2: overlapping ranges of a key as one."""
+    if not len(key):
+        return
+    order = np.lexsort((lo, key))
+    key, lo, hi = key[order], lo[order], hi[order]
+    # Ranges of one key are put apart from those of the next, so that one running maximum serves all.
+    turn = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) * (int(hi.max()) + 1)
+    end = np.maximum.accumulate(turn + hi)
+    cut = np.flatnonzero(np.concatenate([[True], (turn + lo)[1:] > end[:-1]]))
+    last = np.append(cut[1:], len(key)) - 1
+    none = np.zeros(len(cut), np.int64)
+    yield _rows(2, none, none, key[cut], lo[cut], (end - turn)[last], none)
+
+
+#: Rows of one anchor hash that a task holds; of more, it holds so many at a time and takes all for many stretches.
+HELD = 1 << 19
+
+
+def _counted(batches, most: int, length: int, most_held: int):
+    """Rows of kind 0 in the order of (h, s): one row a content of anchors with several, n now their number; of kind 2: contents that occur twice."""
+    held, frequent = None, None
+    for cols in (*batches, None):
+        now = None if cols is None else {c: cols.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(NAMES)}
+        if now is not None:
+            held = now if held is None else {c: np.concatenate([held[c], now[c]]) for c in NAMES}
+        if held is None or not len(held["h"]):
+            continue
+        h = held["h"]
+        cut = len(h) if now is None else int(np.searchsorted(h, h[-1]))
+        if len(h) - cut > most_held:
+            frequent, cut = h[-1], int(np.searchsorted(held["s"][cut:], held["s"][-1])) + cut
+        if not cut:
+            continue
+        g, held = {c: v[:cut] for c, v in held.items()}, {c: v[cut:] for c, v in held.items()}
+        first, size = _runs(g["h"], g["s"])
+        times = np.add.reduceat(g["n"], first)
+        at, kinds = _runs(g["h"][first])
+        kinds = np.where((g["h"][first[at]] == frequent) if frequent is not None else False, most + 1, kinds)
+        several = np.repeat(kinds, np.diff(np.append(at, len(first))))
+        go = first[several > 1]
+        yield _rows(0, *(g[c][go] for c in NAMES[1:6]), several[several > 1])
+        again = np.repeat(times > 1, size)
+        yield from _ranges(g["key"][again], g["lo"][again], g["hi"][again] + length)
 
 
 def _sorted_groups(batches, length: int):
-    """Rows (h, key, at, bytes) in the order of h: the starts that repeat, as ranges (key, lo, hi) of bytes."""
-    import pyarrow as pa
+    """Rows (h, key, lo, bytes) in the order of h: the ranges [lo, hi) of a key that strings which repeat cover."""
 
     def settle(rows):
-        text = b"".join(r[3] for r in rows)
-        data = np.frombuffer(text, np.uint8)
+        data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
         size = np.array([len(r[3]) for r in rows])
-        first = np.cumsum(size) - size
-        many = size - length + 1
+        first, many = np.cumsum(size) - size, size - length + 1
         own = np.repeat(np.arange(len(rows)), many)
         starts = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
         earlier, later = repeated_starts(data, starts, length)
         hit = np.flatnonzero(earlier | later)
-        if not len(hit):
-            return None
-        place = np.array([r[2] >> SPAN_BITS for r in rows])[own[hit]] + starts[hit] - first[own[hit]]
-        owner = own[hit]
-        cut = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(place) != 1)]))
-        end = np.concatenate([cut[1:], [len(hit)]]) - 1
-        keys = np.array([r[1] for r in rows], np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(keys[owner[cut]]), pa.array(place[cut]), pa.array(place[end] + length)], ["key", "lo", "hi"])
-
-    held, bytes_held, last = [], 0, None
+        place = np.array([r[2] for r in rows])[own[hit]] + starts[hit] - first[own[hit]]
+        yield from _ranges(np.array([r[1] for r in rows], np.int64)[own[hit]], place, place + length)
+
+    held, size = [], 0
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[0] != last and bytes_held >= 1 << 20:
-                if (found := settle(held)) is not None:
-                    yield found
-                held, bytes_held = [], 0
-            last = row[0]
+            if held and row[:3] == held[-1][:3]:
+                continue  # of a document that stands in several rows
+            if held and row[0] != held[-1][0] and size >= 1 << 19:
+                yield from settle(held)
+                held, size = [], 0
             held.append(row)
-            bytes_held += len(row[3])
-    if held and (found := settle(held)) is not None:
-        yield found
+            size += len(row[3])
+    if held:
+        yield from settle(held)
 
 
-def _cut(batches, length: int):
-    """Rows (key, packed text, list of at): a row (h, key, at, bytes) for each stretch asked for."""
-    import pyarrow as pa
-    import zstandard
-
-    unpack = zstandard.ZstdDecompressor().decompress
+def _strings(batches, length: int):
+    """Two hashes of every string of `length` bytes of rows (key, lo, bytes), as h and s, with key and lo."""
+    for batch in batches:
+        for part in slices(batch, 2, 1 << 18):
+            for key, lo, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                data = np.frombuffer(text, np.uint8)
+                starts = np.arange(len(data) - length + 1)
+                total, half = rolling.sums(data), starts + length // 2
+                a = rolling.span(total, starts, starts + length)
+                b = rolling.mix(rolling.span(total, starts, half) + np.uint64(1)) ^ rolling.span(total, half, starts + length)
+                none = np.zeros(len(starts), np.int64)
+                yield _rows(0, a, b, np.full(len(starts), key), lo + starts, lo + starts + length, none)
+
+
+def _equal_strings(batches):
+    """The ranges of strings of which there are several; rows come in the order of (h, s, key, lo), and equal rows are one."""
+    last = None
     for batch in batches:
-        out = []
-        for key, packed, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            text = unpack(packed)
-            for x in asked:
-                a = x["at"] >> SPAN_BITS
-                out.append((x["h"], key, x["at"], text[a : a + (x["at"] & (1 << SPAN_BITS) - 1) + length]))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 4, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["h", "key", "at", "bytes"])
+        g = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 6)]
+        if last is not None:
+            g = [np.concatenate([a, b]) for a, b in zip(last, g, strict=True)]
+        if not len(g[0]):
+            continue
+        first, _ = _runs(*g)
+        g = [x[first] for x in g]
+        same = (g[0][1:] == g[0][:-1]) & (g[1][1:] == g[1][:-1])
+        hit = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        yield from _ranges(*(x[hit] for x in g[2:]))
+        last = [x[-1:] for x in g]
 
 
 def packed(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns and the text as zstandard bytes: what is shuffled is a third as large."""
-    ship(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
@@ -247,75 +304,48 @@ def packed(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
 
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            texts = pa.array([pack((t or "").encode()) for t in batch.column(len(keep)).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], texts], [*keep, "packed"])
+            for part in slices(batch, len(keep)):
+                data, offsets = utf8(part.column(len(keep)))
+                texts = [pack(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(texts, pa.binary())], [*keep, "packed"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, text).mapInArrow(run, f"{kinds}, packed binary")
+    return mapped(docs.select(*keep, text), run, f"{kinds}, packed binary")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """(key, spans): the byte ranges of each text that repeated strings cover; key as in keyed()."""
-    ship(docs.sparkSession)
-    rows = keyed(docs).select("key", "text")
+    from factloom.llm.sets import texts_of, whole_number
 
-    def find(batches):
-        from factloom.llm import suffixes
-
-        yield from suffixes._anchors(batches, length, gram)
-
-    anchors = rows.mapInArrow(find, "h bigint, s bigint, key bigint, at bigint")
-    twice = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    live = save(anchors.join(twice, "h"), "anchors")
-    kinds = live.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(F.struct("key", "at")).alias("one"))
-    kinds = save(kinds.select("h", "s", "n", "one.key", "one.at"), "stretches")
-    whole = live.join(kinds.where("n > 1").select("h", "s"), ["h", "s"]).select("key", "at")
-    first = F.shiftright("at", SPAN_BITS)
-    whole = whole.select("key", first.alias("lo"), (first + F.expr(f"at & {(1 << SPAN_BITS) - 1}") + length).alias("hi"))
-    several = save(kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1"), "anchors-kinds")
-    asked = kinds.join(several, "h")
-    # One text of each key: equal texts have equal bytes.
-    by_text = asked.groupBy("key").agg(F.collect_list(F.struct("h", "at", "kinds")).alias("asked"))
-    texts = packed(rows, ["key"])
-    one = texts.join(by_text, "key").dropDuplicates(["key"])
+    rows, most_held = keyed(docs), HELD
+    found = save(mapped(rows.select("key", "text"), lambda b: _anchors(b, length, gram), KINDS), "stretches", "kind")
+    ordered = found.where("kind = 0").select(*NAMES).repartition("h").sortWithinPartitions("h", "s", "key", "lo")
+    counted = save(mapped(ordered, lambda b: _counted(b, most, length, most_held), KINDS), "anchors", "kind")
+    # One document of each key: equal texts have equal bytes.
+    one = rows.select("key", whole_number(docs, "doc_id").alias("doc_id")).groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    asked = counted.where("kind = 0").groupBy("key").agg(F.collect_list(F.struct("h", "lo", "hi", "n")).alias("asked")).join(one, "key")
 
     def cut(batches):
-        from factloom.llm import suffixes
-
-        yield from suffixes._cut(batches, length)
-
-    few = one.select("key", "packed", F.filter("asked", lambda x: x["kinds"] <= most).alias("asked")).where(F.size("asked") > 0)
-    few = few.mapInArrow(cut, "h bigint, key bigint, at bigint, bytes binary")
-
-    def settle(batches):
-        from factloom.llm import suffixes
-
-        yield from suffixes._sorted_groups(batches, length)
-
-    found = few.repartition("h").sortWithinPartitions("h", "key", "at").mapInArrow(settle, "key bigint, lo bigint, hi bigint")
-    if several.where(F.col("kinds") > most).limit(1).count():
-        many = one.select("key", "packed", F.filter("asked", lambda x: x["kinds"] > most).alias("asked")).where(F.size("asked") > 0)
-        many = many.mapInArrow(cut, "h bigint, key bigint, at bigint, bytes binary")
-
-        def strings(batches):
-            import pyarrow as pa
-
-            from factloom.llm import rolling
-
-            for batch in batches:
-                for key, at, text in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                    data = np.frombuffer(text, np.uint8)
-                    starts = np.arange(len(data) - length + 1)
-                    total = rolling.sums(data)
-                    a = rolling.span(total, starts, starts + length)
-                    b = rolling.mix(rolling.span(total, starts, starts + length // 2) + np.uint64(1)) ^ rolling.span(total, starts + length // 2, starts + length)
-                    cols = (a.view(np.int64), b.view(np.int64), np.full(len(starts), key), (at >> SPAN_BITS) + starts)
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "key", "lo"])
+        import pyarrow as pa
 
-        strings_ = many.mapInArrow(strings, "a bigint, b bigint, key bigint, lo bigint")
-        equal = strings_.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
-        found = found.unionByName(strings_.join(equal, ["a", "b"]).select("key", "lo", (F.col("lo") + length).alias("hi")))
-    return whole.unionByName(found).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+        for batch in batches:
+            for part in slices(batch, 0, 1 << 20):
+                data, offsets = utf8(part.column(0))
+                for r, wanted in enumerate(part.column(1).to_pylist()):
+                    text = data[offsets[r] : offsets[r + 1]]
+                    cols = [[x[c] for x in wanted] for c in ("h", "lo", "hi", "n", "key")]
+                    cols.append([text[a : b + length].tobytes() for a, b in zip(cols[1], cols[2], strict=True)])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i == 5 else pa.int64()) for i, c in enumerate(cols)], ["h", "lo", "hi", "n", "key", "bytes"])
+
+    asked = asked.select("doc_id", "key", F.transform("asked", lambda x: x.withField("key", F.col("key"))).alias("asked"))
+    parts = save(mapped(texts_of(docs, asked), cut, "h bigint, lo bigint, hi bigint, n bigint, key bigint, bytes binary"), "stretch-bytes")
+    few = parts.where(F.col("n") <= most).select("h", "key", "lo", "bytes").repartition("h").sortWithinPartitions("h", "key", "lo")
+    spans = found.where("kind = 2").unionByName(counted.where("kind = 2")).select("key", "lo", "hi")
+    spans = spans.unionByName(mapped(few, lambda b: _sorted_groups(b, length), KINDS).select("key", "lo", "hi"))
+    strings = mapped(parts.where(F.col("n") > most).select("key", "lo", "bytes"), lambda b: _strings(b, length), KINDS)
+    strings = strings.repartition("h").sortWithinPartitions("h", "s", "key", "lo")
+    spans = spans.unionByName(mapped(strings, _equal_strings, KINDS).select("key", "lo", "hi"))
+    return save(spans, "repeats").groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -341,8 +371,7 @@ def unions(spans) -> list[tuple[int, int]]:
 
 def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", texts: bool = False, **limits) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256; with texts=True also kept (binary) and spans."""
-    ship(docs.sparkSession)
-    found = repeats(docs, length, **limits)
+    found = repeats(docs.select(F.col(id_col).alias("doc_id"), "text"), length, **limits).hint("shuffle_hash")
     rows = packed(keyed(docs).select(id_col, "key", "text"), [id_col, "key"]).join(found, "key", "left").select(id_col, "packed", "spans")
 
     def run(batches):
@@ -354,21 +383,22 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", texts:
         from factloom.llm import suffixes
 
         unpack = zstandard.ZstdDecompressor().decompress
+        kinds = [pa.int64()] * 3 + [pa.string()] + [pa.binary(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))] * texts
         for batch in batches:
-            out = []
-            for packed_, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                text = unpack(packed_)
-                gone = suffixes.unions((x["lo"], x["hi"]) for x in spans or ())
-                ends = [0, *(x for s in gone for x in s), len(text)]
-                kept = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
-                row = (len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest())
-                out.append((*row, kept, [{"lo": a, "hi": b} for a, b in gone]) if texts else row)
-            kinds = [pa.int64()] * 3 + [pa.string()] + [pa.binary(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))] * texts
-            cols = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [()] * len(kinds), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept", "spans"] * texts])
+            for part in slices(batch, 1, 1 << 20):
+                out = []
+                for packed_, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    text = unpack(packed_)
+                    gone = suffixes.unions((x["lo"], x["hi"]) for x in spans or ())
+                    ends = [0, *(x for s in gone for x in s), len(text)]
+                    kept = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
+                    row = (len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest())
+                    out.append((*row, kept, [{"lo": a, "hi": b} for a, b in gone]) if texts else row)
+                cols = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [()] * len(kinds), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *cols], [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept", "spans"] * texts])
 
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return rows.mapInArrow(run, schema + ", kept binary, spans array<struct<lo: bigint, hi: bigint>>" * texts)
+    return mapped(rows, run, schema + ", kept binary, spans array<struct<lo: bigint, hi: bigint>>" * texts)
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

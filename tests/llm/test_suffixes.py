@@ -72,3 +72,39 @@ def test_longest_previous_factor():
     starts = np.arange(len(b"xxabcdefghijyyabcdefghijzz") - 9)
     earlier, later = suffixes.repeated_starts(np.frombuffer(b"xxabcdefghijyyabcdefghijzz", np.uint8), starts, 10)
     assert list(np.flatnonzero(earlier)) == [14] and list(np.flatnonzero(later)) == [2]
+
+
+def test_factors_equal_brute_force():
+    rng = np.random.default_rng(3)
+    for turn in range(60):
+        length = int(rng.choice([3, 8, 10, 13]))
+        text = bytes(rng.integers(97, 97 + int(rng.choice([1, 2, 3])), 60).astype(np.uint8))
+        starts = np.flatnonzero(rng.random(61 - length) < 0.8)
+        same = lambda i, j: next((k for k in range(length) if text[i + k] != text[j + k]), length)
+        earlier, later = suffixes.factors(np.frombuffer(text, np.uint8), starts, length)
+        assert list(earlier) == [max((same(i, j) for j in starts if j < i), default=0) for i in starts]
+        assert list(later) == [max((same(i, j) for j in starts if j > i), default=0) for i in starts]
+
+
+@pytest.mark.parametrize("most", [5000, 2])
+def test_one_hot_anchor(spark, monkeypatch, most):
+    monkeypatch.setattr(suffixes, "HELD", 5)
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    hot = some(90)
+    docs = [some(rng.randint(0, 80)) + hot + some(rng.randint(0, 80)) for _ in range(150)] + [hot] * 40
+    rows = spark.createDataFrame([(i if i % 7 else None, t) for i, t in enumerate(docs)], "doc_id bigint, text string").repartition(5)
+    got = sorted(tuple(r)[1:] for r in suffixes.remove(rows, 60, gram=12, most=most).collect())
+    assert got == sorted(brute([t.encode() for t in docs], 60))
+
+
+def test_very_long_text(spark, monkeypatch):
+    rng = random.Random(4)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnop \u00e9", k=n))
+    shared = some(700)
+    docs = [some(1_500_000) + shared + some(900_000), some(300) + shared, some(5000)]
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    size = len(shared.encode())
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffixes.remove(rows).collect()}
+    # The bytes beside the passage may happen to be equal too.
+    assert got[2] == (0, 0) and all(size <= got[i][0] <= size + 4 and got[i][1] == 1 for i in (0, 1))
