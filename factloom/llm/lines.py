@@ -3,33 +3,34 @@
 A line is the set of its distinct shingles of K words. Lines of equal sets are one class, which stands at its
 first line. A line goes if an earlier line, by (doc_id, line number), reaches Jaccard LIKE with it; what is
 earlier is judged on the input. Candidates come from rarity-ordered prefixes (sets.py): classes that share a
-token pass the length filter, the positional filter, and two bitmaps that bound the tokens of their prefixes in
-common and the tokens that one of them lacks (jaccard.families). What may match makes families; a family's lines
-meet once, and each class is checked on whole sets against earlier ones, likeliest first, until one matches.
-Large families are parted by size and dealt to chunks that meet in pairs.
+token pass the length filter, the positional filter, and a bitmap that bounds the tokens which one of the two
+lacks (sets.families). What may match makes families; a family's lines meet once, and each class is checked on
+whole sets against earlier ones, likeliest first, until one matches. Large families are parted by size and dealt
+to chunks that meet in pairs. Equal lines of some megabytes of documents are settled there, before anything is shuffled.
 
 Defined cases: lines of fewer than `least_words` words (and empty lines) always stay: LEAST_WORDS unless told,
 none in the query, where shorter lines match as a whole; lines are parted by line feeds; null texts stay null;
-rows that repeat both id and text are one document and fare alike;
-a null id comes first; an empty table gives an empty result; other columns pass through, whatever their names.
+rows that repeat both id and text are one document and fare alike; a null id comes first, and an id that is text
+without a whole number counts as null; an empty table gives an empty result; other columns pass through, whatever
+their names. A line longer than others takes its own size in memory, and some 30 times that for its tokens while
+it is read.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm import jaccard, sets
-from factloom.llm.common import components, portions, save, ship, table, utf8
+from factloom.llm.common import components, mapped, portions, save, slices, table, utf8
 from factloom.llm.suffixes import keyed, text_key
 
 K, LIKE, LEAST_WORDS = 5, 80, 5
 
 
-def measured(docs: DataFrame, k: int, least_words: int) -> DataFrame:
-    """Rows of kind 0: a line (doc_id, key, line, cls, n); rows of kind 1: (bucket, count) of the sketch as cls and n."""
-    ship(docs.sparkSession)
+def measured(docs: DataFrame, k: int, t: int, least_words: int) -> DataFrame:
+    """Rows of kind 0: the first line (doc_id, key, line) of a class (cls, n, odd) in some megabytes of documents; of kind 2: its later lines there; of kind 1: (bucket, count) of the sketch as cls and n."""
 
     def run(batches):
         import pyarrow as pa
@@ -37,9 +38,10 @@ def measured(docs: DataFrame, k: int, least_words: int) -> DataFrame:
         from factloom.llm import sets
 
         counts = np.zeros(sets.SKETCH, np.int64)
-        names = ["kind", "doc_id", "key", "line", "cls", "n", "bits"]
-        for batch in batches:
+        names = ["kind", "doc_id", "key", "line", "cls", "n", "odd"]
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             data, offsets = utf8(batch.column(2))
+            held = []
             for i, j in portions(offsets):
                 part, offs = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 bounds, at = sets.line_offsets(part, offs)
@@ -48,16 +50,35 @@ def measured(docs: DataFrame, k: int, least_words: int) -> DataFrame:
                 own = np.repeat(np.arange(j - i), np.diff(at))
                 line, n = np.arange(len(own)) - at[:-1][own], np.diff(first)
                 use = np.flatnonzero(n > 0)
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (tokens & np.uint64(63)), first[use]) if len(use) else np.zeros(0, np.uint64)
-                take = pa.array(i + own[use])
-                cols = [pa.array(np.zeros(len(use), np.int32)), batch.column(0).take(take), batch.column(1).take(take), pa.array(line[use].astype(np.int32)), pa.array(sets.classes(first, tokens)[use].view(np.int64)), pa.array(n[use]), pa.array(bits.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(cols, names)
+                odd = np.array(sets.odd_bits(first, tokens, t), object)[use]
+                held.append((i + own[use], line[use], sets.classes(first, tokens)[use], n[use], odd))
+            if not held:
+                continue
+            row, line, cls, n, odd = (np.concatenate(x) for x in zip(*held, strict=True))
+            # The rows in order of (doc_id, key), null first; rows that repeat both are one document.
+            ids, keys = batch.column(0).fill_null(-(1 << 63)).to_numpy(), batch.column(1).to_numpy()
+            null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            order = np.lexsort((keys, ids, ~null))
+            new = np.ones(len(order), bool)
+            new[1:] = (ids[order][1:] != ids[order][:-1]) | (keys[order][1:] != keys[order][:-1]) | (null[order][1:] != null[order][:-1])
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.cumsum(new)
+            once = np.zeros(len(order), bool)
+            once[order[new]] = True
+            use = np.flatnonzero(once[row])
+            use = use[np.lexsort((line[use], rank[row[use]], cls[use]))]
+            lead = np.ones(len(use), bool)
+            lead[1:] = cls[use][1:] != cls[use][:-1]
+            take = pa.array(row[use])
+            cols = [pa.array(np.where(lead, 0, 2).astype(np.int32)), batch.column(0).take(take), batch.column(1).take(take), pa.array(line[use].astype(np.int32)), pa.array(cls[use].view(np.int64)), pa.array(n[use])]
+            cols.append(pa.array([x if y else None for x, y in zip(odd[use].tolist(), lead.tolist(), strict=True)], pa.binary()))
+            yield pa.RecordBatch.from_arrays(cols, names)
         hit = np.flatnonzero(counts)
         nothing = pa.nulls(len(hit), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hit), np.int32)), nothing, nothing, pa.nulls(len(hit), pa.int32()), pa.array(hit), pa.array(counts[hit]), nothing], names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hit), np.int32)), nothing, nothing, pa.nulls(len(hit), pa.int32()), pa.array(hit), pa.array(counts[hit]), pa.nulls(len(hit), pa.binary())], names)
 
-    rows = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "key", "text")
-    return save(rows.mapInArrow(run, "kind int, doc_id bigint, key bigint, line int, cls bigint, n bigint, bits bigint"), "lines")
+    rows = keyed(docs).select(sets.whole_number(docs, "doc_id").alias("doc_id"), "key", "text")
+    return save(mapped(rows, run, "kind int, doc_id bigint, key bigint, line int, cls bigint, n bigint, odd binary"), "lines", "kind")
 
 
 def later_in(first: np.ndarray, tokens: np.ndarray, place: list, t: int) -> set[int]:
@@ -74,33 +95,24 @@ def later_in(first: np.ndarray, tokens: np.ndarray, place: list, t: int) -> set[
 
 def later_matches(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, key, lines): the numbers of the lines that go; key as keyed() gives it."""
-    found = measured(docs, k, least_words)
-    rows = found.where("kind = 0").drop("kind")
+    found = measured(docs, k, t, least_words)
     level = sets.read_levels(found.where("kind = 1").select(F.col("cls").alias("bucket"), "n"))
-    first = rows.groupBy("cls").agg(F.min(F.struct("doc_id", "key", "line")).alias("f"), F.count("*").alias("times"), F.min("bits").alias("bits"), F.min("n").alias("n"))
-    first = save(first.select("cls", "times", "n", "f.doc_id", "f.key", "f.line", "bits"), "line-classes")
-    cells = sets.survivors(sets.prefixes(keyed(docs).select("text"), k, t, level, True, least_words), "line-prefixes")
-    signs = jaccard.signed(cells).drop("size").join(first.select("cls", F.col("bits").alias("b0")), "cls")
-    signs = signs.withColumns({c: F.lit(0).cast("long") for c in jaccard.WHOLE[1:]})
-    edges = save(jaccard.families(cells.join(signs, "cls"), t), "line-edges")
+    # A document that stands in several rows has one place.
+    by = Window.partitionBy("cls").orderBy("doc_id", "key", "line")
+    ranked = save(found.where("kind = 0").drop("kind").withColumns({"turn": F.row_number().over(by), "place": F.rank().over(by)}), "line-classes")
+    first = ranked.where("turn = 1")
+    # Tokens of equal rank are ordered by their hash alone, so a token is the same whichever set it comes from.
+    cells = sets.shared(sets.prefixes(keyed(docs), k, t, level, least_words), "token bigint, cls bigint, at bigint", "line-prefixes")
+    cells = cells.select("token", "cls", F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("pos")).join(first.select("cls", "n", "odd"), "cls")
+    edges = save(sets.families(cells, t), "line-edges")
     nodes = edges.select(F.col("a").alias("node")).unionAll(edges.select("b")).distinct()
-    family = save(components(edges, nodes).select(F.col("node").alias("cls"), F.col("component").alias("family")).join(first, "cls"), "line-families")
-    asked = save(family.groupBy("key").agg(F.collect_list(F.struct("cls", "line")).alias("asked")), "line-asked")
-    ship(docs.sparkSession)
-
-    def cut(batches):
-        import pyarrow as pa
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            out: list[tuple[int, bytes]] = []
-            for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts = unpack(text).split(b"\n")
-                out.extend((x["cls"], parts[x["line"]]) for x in wanted)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["cls", "unit"])
-
-    units = sets.texts_of(docs, asked).mapInArrow(cut, "cls bigint, unit binary").groupBy("cls").agg(F.first("unit").alias("unit"))
+    family = components(edges, nodes).select(F.col("node").alias("cls"), F.col("component").alias("family"))
+    family = save(family.join(first.drop("odd", "turn", "place"), "cls"), "line-families")
+    # A row for every document of the text asked for: the lines are the same, one of each class goes on.
+    units = sets.texts_of(docs, family.groupBy("doc_id", "key").agg(F.collect_list(F.struct("cls", "line")).alias("asked")))
+    # A variable holds the lines, so that a text is split once; an outer generator gets no filter over its own input.
+    asked = of_lines("text", lambda p: F.transform("asked", lambda x: F.struct(x["cls"].alias("cls"), F.get(p, x["line"]).alias("unit"))))
+    units = save(units.select(F.inline_outer(asked)), "line-texts")
     groups = sets.dealt(family.select("cls", "family", F.col("n").alias("size")), t)
     groups = groups.join(units, "cls").join(family.select("cls", "doc_id", "key", "line"), "cls")
 
@@ -110,7 +122,7 @@ def later_matches(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int =
         from factloom.llm import lines, sets
 
         for rows_ in sets.whole_rows(batches):
-            first_, tokens = sets.sets_of([r[2] for r in rows_], k)
+            first_, tokens = sets.sets_of([r[2].encode() for r in rows_], k)
             cuts = np.array([0, *(i for i in range(1, len(rows_)) if rows_[i][0] != rows_[i - 1][0]), len(rows_)])
             place = [(r[3] is not None, r[3] or 0, r[4], r[5]) for r in rows_]
             out = [rows_[x if place[x] > place[y] else y][1] for x, y in zip(*sets.small_pairs(first_, tokens, cuts, t), strict=True)]
@@ -120,30 +132,38 @@ def later_matches(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int =
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["cls"])
 
     dealt = groups.select("group", "cls", "unit", "doc_id", "key", "line").repartition("group").sortWithinPartitions("group", "cls")
-    late = save(dealt.mapInArrow(run, "cls bigint").distinct(), "line-matches").withColumn("late", F.lit(True))
-    goes = first.join(late, "cls", "left").where("late or times > 1")
-    goes = goes.select("cls", F.coalesce("late", F.lit(False)).alias("late"), F.struct("doc_id", "key", "line").alias("f"))
-    gone = rows.join(goes, "cls").where(F.col("late") | ~F.struct("doc_id", "key", "line").eqNullSafe(F.col("f")))
+    late = save(mapped(dealt, run, "cls bigint").distinct(), "line-matches")
+    equal = found.where("kind = 2").unionByName(ranked.where("place > 1"), allowMissingColumns=True).select("doc_id", "key", "line")
+    gone = equal.unionByName(first.join(late, "cls").select("doc_id", "key", "line"))
     return gone.groupBy("doc_id", "key").agg(F.collect_set("line").alias("lines"))
 
 
-def enough_first(pairs: DataFrame, t: int) -> DataFrame:
-    """A first choice of pairs worth checking; those it leaves out meet again."""
-    return pairs.where(F.col("n") * 20 >= F.least("na", "nb"))
+def of_lines(text: str, what):
+    """what(lines) of a text, which is split once however often what looks at its lines."""
+    return F.transform(F.array(F.split(F.coalesce(text, F.lit("")), "\n", -1)), what)[0]
+
+
+def free(docs: DataFrame, name: str) -> str:
+    """A column name that docs has not, whatever the case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def dedup(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = LEAST_WORDS, report: bool = False) -> DataFrame:
     """docs with the later matches cut from text; with report=True instead doc_id, n_lines, n_removed, kept_sha256."""
     gone = later_matches(docs, k, t, least_words)
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key"), F.col("lines").alias("_gone"))
-    rows = docs.withColumn("_key", text_key(F.col("text")))
-    joined = rows.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_gone_id")) & (F.col("_key") == F.col("_gone_key")), "left")
+    c_key, c_id, c_gone_key, c_gone = (free(docs, x) for x in ("_key", "_gone_id", "_gone_key", "_gone"))
+    gone = gone.select(F.col("doc_id").alias(c_id), F.col("key").alias(c_gone_key), F.col("lines").alias(c_gone))
+    rows = docs.withColumn(c_key, text_key(F.col("text")))
+    joined = rows.join(gone.hint("shuffle_hash"), sets.whole_number(docs, "doc_id").eqNullSafe(F.col(c_id)) & (F.col(c_key) == F.col(c_gone_key)), "left")
     lines_of = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    stays = F.array_join(F.filter(lines_of, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    kept = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(stays)
+    stays = of_lines("text", lambda p: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), c_gone), lambda i: F.get(p, i)), "\n"))
+    kept = F.when(F.col(c_gone).isNull(), F.col("text")).otherwise(stays)
     if not report:
-        return joined.select(*[kept.alias("text") if c == "text" else F.col(c) for c in docs.columns])
-    return joined.select("doc_id", F.size(lines_of).cast("long").alias("n_lines"), F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"), F.sha2(F.coalesce(kept, F.lit("")), 256).alias("kept_sha256"))
+        return joined.select(*[kept.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return joined.select("doc_id", F.size(lines_of).cast("long").alias("n_lines"), F.when(F.col(c_gone).isNull(), 0).otherwise(F.size(c_gone)).cast("long").alias("n_removed"), F.sha2(F.coalesce(kept, F.lit("")), 256).alias("kept_sha256"))
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
