@@ -17,10 +17,11 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm.common import ship, table
+from factloom.llm.common import mapped, ship, table
 
 NONE = 1 << 62
-MEMO, MEMO_CHARS = 1_000_000, 48
+#: Matches of up to MEMO_CHARS characters that a task keeps the ids of, some 200 bytes each; it forgets them at its end.
+MEMO, MEMO_CHARS = 250_000, 48
 _loaded: dict = {}
 
 
@@ -130,7 +131,6 @@ def encode(docs: DataFrame, raw: bytes, pattern: str, id_col: str = "doc_id", te
     raw: the rank file's bytes (some hundred kilobytes), read on the driver and broadcast.
     """
     spark = docs.sparkSession
-    ship(spark)
     shared = spark.sparkContext.broadcast((raw, pattern))
 
     def run(batches):
@@ -157,10 +157,11 @@ def encode(docs: DataFrame, raw: bytes, pattern: str, id_col: str = "doc_id", te
                     cols.append(pa.array(lists, pa.list_(pa.int32())))
                     names.append("token_ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
+        own.memo.clear()
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return mapped(docs.select(id_col, text_col), run, schema)
 
 
 def decode(encoded: DataFrame, raw: bytes, pattern: str, ids_col: str = "token_ids") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm import rolling
-from factloom.llm.common import portions, ship, table, utf8
+from factloom.llm.common import mapped, portions, table, utf8
 
 BUCKETS, DIM, WINDOW, LEAST_DOCS = 1 << 17, 8, 6, 4
 #: A window of fewer features counts as padded with empty ones to so many.
@@ -250,7 +250,6 @@ def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 1500, most_chars: i
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and score of every row."""
     spark = docs.sparkSession
-    ship(spark)
     shared = spark.sparkContext.broadcast(model and (model.weight, model.used, model.bias, model.scale))
 
     def run(batches):
@@ -262,13 +261,12 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(toxicity.scores(own, *utf8(batch.column(1))), pa.float64())], [id_col, "score"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double")
+    return mapped(docs.select(id_col, text_col), run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double")
 
 
 def clean(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of docs that score below threshold, with all their columns."""
     spark = docs.sparkSession
-    ship(spark)
     shared = spark.sparkContext.broadcast(model and (model.weight, model.used, model.bias, model.scale))
     at = docs.columns.index(text_col)
 
@@ -281,7 +279,7 @@ def clean(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, te
         for batch in batches:
             yield batch.filter(pa.array(toxicity.scores(own, *utf8(batch.column(at))) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm.common import ship, table
+from factloom.llm.common import mapped, table
 
 MEMO, MEMO_CHARS = 400_000, 48
 ROOT, INNER, NOWHERE = 0, 1, -1
@@ -105,7 +105,6 @@ def automaton(pieces) -> Automaton:
 def token_counts(docs: DataFrame, pieces: tuple[list[str], list[str]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_words, n_tokens, n_unknown for every row. pieces: word-initial and continuing, broadcast (a vocabulary's size)."""
     spark = docs.sparkSession
-    ship(spark)
     shared = spark.sparkContext.broadcast(pieces)
 
     def run(batches):
@@ -122,9 +121,10 @@ def token_counts(docs: DataFrame, pieces: tuple[list[str], list[str]], id_col: s
                 rows.append((len(counts), sum(counts) + unknown, unknown))
             cols = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], [id_col, "n_words", "n_tokens", "n_unknown"])
+        own.memo.clear()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_words bigint, n_tokens bigint, n_unknown bigint")
+    return mapped(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, n_words bigint, n_tokens bigint, n_unknown bigint")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
