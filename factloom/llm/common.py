@@ -35,10 +35,20 @@ def ship(spark: SparkSession) -> None:
     context._factloom_shipped = True
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """A column name that docs has not, whatever the case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a folder of its own only where the session names none."""
+    """The folder all executors share; in local mode a folder of its own where the session names none, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="factloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm import jaccard, sets
-from factloom.llm.common import components, mapped, portions, save, slices, table, utf8
+from factloom.llm.common import components, free, mapped, portions, save, slices, table, utf8
 from factloom.llm.suffixes import keyed, text_key
 
 K, LIKE, LEAST_WORDS = 5, 80, 5
@@ -143,14 +143,6 @@ def of_lines(text: str, what):
     return F.transform(F.array(F.split(F.coalesce(text, F.lit("")), "\n", -1)), what)[0]
 
 
-def free(docs: DataFrame, name: str) -> str:
-    """A column name that docs has not, whatever the case of its letters."""
-    taken = {c.lower() for c in docs.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def dedup(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = LEAST_WORDS, report: bool = False) -> DataFrame:
     """docs with the later matches cut from text; with report=True instead doc_id, n_lines, n_removed, kept_sha256."""
     gone = later_matches(docs, k, t, least_words)

@@ -120,16 +120,15 @@ def take(docs: DataFrame, weights=(1, 2, 3), most: int = 3) -> DataFrame:
     taken = mix(docs, weights, most).where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     taken = taken.withColumn("_copy", F.row_number().over(Window.partitionBy("_id").orderBy("_size", "_taken")))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumn("_words", size).where("_words > 0")
-    rows = rows.withColumn("_no", F.row_number().over(Window.partitionBy("doc_id").orderBy("_words")))
-    rows = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_no") == F.col("_copy")))
-    times = F.expr("sequence(0L, (_taken - 1) div _words)")
-    rows = rows.withColumn("_turn", F.explode(times)).withColumn("_keep", F.least(F.col("_words"), F.col("_taken") - F.col("_turn") * F.col("_words")))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("_keep").cast("int")), " ")
-    rows = rows.withColumn("text", F.when(F.col("_keep") == F.col("_words"), F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    # The row goes along as one value, so its columns may have any names.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own"), F.col("text").alias("whole"), size.alias("words")).where("words > 0")
+    rows = rows.withColumn("no", F.row_number().over(Window.partitionBy("own").orderBy("words")))
+    rows = rows.join(taken, F.col("own").eqNullSafe(F.col("_id")) & (F.col("no") == F.col("_copy")))
+    rows = rows.withColumn("turn", F.explode(F.expr("sequence(0L, (_taken - 1) div words)"))).withColumn("keep", F.least(F.col("words"), F.col("_taken") - F.col("turn") * F.col("words")))
+    cut = F.array_join(F.slice(F.regexp_extract_all("whole", F.lit(WORD), F.lit(0)), 1, F.col("keep").cast("int")), " ")
+    rows = rows.withColumn("whole", F.when(F.col("keep") == F.col("words"), F.col("whole")).otherwise(cut))
+    new = {"text": lambda _: F.col("whole"), "n_chars": lambda c: F.char_length("whole").cast(docs.schema[c].dataType)}
+    return rows.select(*[new.get(c.lower(), lambda c: F.col("row")[c])(c).alias(c) for c in docs.columns])
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

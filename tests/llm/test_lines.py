@@ -77,3 +77,18 @@ def test_short_lines_equal_brute_force(spark, tmp_path):
     assert want[2003] == ("\nrights all reserved.", 2) and want[2005] == ("x y", 2)
     got = {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in lines.op10_lines(spark, str(tmp_path)).collect()}
     assert got == {d: (n, hashlib.sha256(x.encode()).hexdigest()) for d, (x, n) in want.items()}
+
+
+def test_columns_of_any_name_and_text_ids(spark):
+    rows = [("7", "a b c d e\nf g", 1, 2, 3), ("10", "a b c d e\nz z", 4, 5, 6), ("x", "q r s t u", 7, 8, 9)]
+    df = spark.createDataFrame(rows, "doc_id string, Text string, _key int, _gone int, kind int")
+    out = lines.dedup(df, report=False)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == [("10", "z z", 4, 5, 6), ("7", "a b c d e\nf g", 1, 2, 3), ("x", "q r s t u", 7, 8, 9)]
+
+
+def test_very_long_line(spark):
+    rng = random.Random(1)
+    line = " ".join("w%d" % rng.randrange(10**6) for _ in range(200_000))
+    df = spark.createDataFrame([(1, line), (2, "x\n" + line + " more"), (3, line[: len(line) // 2])], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["text"] for r in lines.dedup(df).collect()} == {1: line, 2: "x", 3: line[: len(line) // 2]}

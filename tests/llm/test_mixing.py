@@ -71,3 +71,12 @@ def test_any_prefix_of_the_schedule_keeps_the_shares(spark):
     for upto in (50, 200, 700):
         for s, n in share.items():
             assert abs(sum(x == s for _, x in slots[:upto]) - upto * n / total) < 6
+
+
+def test_take_leaves_columns_of_any_name(spark):
+    rows = [(i, "a b c d", "s%d" % (i % 2), 7, 10 + i, "x") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int, _words int, _keep string")
+    out = mixing.take(df)
+    assert out.columns == df.columns and out.dtypes == df.dtypes
+    got = out.collect()
+    assert got and all(r["_words"] == 10 + r["doc_id"] and r["_keep"] == "x" and r["n_chars"] == len(r["text"]) for r in got)
