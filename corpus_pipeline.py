@@ -10,28 +10,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import bpe, jaccard, lines, mixing, toxicity
-from factloom.llm.common import save, table
+from factloom.llm.common import free, save, table
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold; the model learns from labelled documents of the table itself."""
+    """Documents that score below the threshold; the model learns from labelled documents of the table itself.
+
+    Null and empty texts score 0 and stay; rows that repeat fare alike.
+    """
     return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier line matches."""
+    """Documents without the lines that an earlier line matches, all rows kept; null texts stay null, a null id comes first."""
     out = lines.dedup(docs)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at five words and 0.8, the one of the smallest id; equal rows stay once."""
-    found = save(jaccard.join(docs, 5, 80).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(found, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """Of documents linked at five words and 0.8, the one of the smallest id. Null and empty texts are linked with nothing, rows of a null id stay."""
+    gone = free(docs, "gone")
+    found = save(jaccard.join(docs, 5, 80).where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct(), "near-copies")
+    return docs.join(found, F.col("doc_id") == F.col(gone), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources by weight: a document once for every time it is taken."""
+    """The mix of sources by weight: a document once for every time it is taken; texts without words have no part in it, a null source is one of its own."""
     return mixing.take(docs)
 
 
