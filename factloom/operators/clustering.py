@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.operators.graph import keep
+
 from factloom.functions.text import norm_name
 
 # How sure each method is.
@@ -125,11 +127,12 @@ def numbered(df: DataFrame, order: str, out: str = "no", buckets: int = 1024) ->
 def issue_ids(entities_: DataFrame, registry: DataFrame, next_no: int, prefix: str = "FL-") -> DataFrame:
     """entity_id for every cluster: the registry's where it knows the signature, else the next in order of `ord`.
 
-    registry: (cluster, entity_id). Nothing is renumbered; the same call on its own result issues none.
+    registry: (cluster, entity_id). Nothing is renumbered; the same call on its own result issues none. Numbers have
+    five digits or more. The clusters are written once, as counting and numbering read them again.
     """
-    known = entities_.join(registry, "cluster", "left")
+    known = keep(entities_.join(registry, "cluster", "left"), "known")
     old, new = known.where("entity_id is not null"), known.where("entity_id is null").drop("entity_id")
-    new = numbered(new, "ord", "_no").withColumn("entity_id", F.concat(F.lit(prefix), F.lpad((F.col("_no") + next_no).cast("string"), 5, "0"))).drop("_no")
+    new = numbered(new, "ord", "_no").withColumn("entity_id", F.format_string(f"{prefix}%05d", F.col("_no") + next_no)).drop("_no")
     return old.withColumn("issued", F.lit(False)).unionByName(new.withColumn("issued", F.lit(True)))
 
 

@@ -9,16 +9,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the folder that all executors share and reads it again."""
-    spark = df.sparkSession
+def shared(spark) -> str:
+    """The folder that the driver and all executors share; a private one in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="factloom-")
         spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder}/factloom-graph/{name}-{uuid.uuid4().hex}"
+    return folder
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Writes df to the folder that all executors share and reads it again."""
+    path = f"{shared(df.sparkSession)}/factloom-graph/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

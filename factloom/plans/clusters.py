@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factloom.functions.text import norm_name
+from factloom.operators.graph import keep
 from factloom.operators import candidates, clustering, graph, matching
 from factloom.plans.registry import query, table
 
@@ -82,12 +83,14 @@ def cluster_entities(spark, sf):
     return clustering.entities(clustering.clusters_of(rows(spark, sf)))
 
 
-@query("issue_ids", _ENTITIES + """, reg as (select cluster, 'FL-' || lpad(ord::varchar, 5, '0') as entity_id from entities where ord % 2 = 0)
-select e.cluster, coalesce(r.entity_id, 'FL-' || lpad((row_number() over (partition by r.entity_id is null order by e.ord) - 1 + 96841)::varchar, 5, '0')) as entity_id, r.entity_id is null as issued from entities e left join reg r using (cluster)""")
+@query("issue_ids", _ENTITIES + """, reg as (select cluster, printf('FL-%05d', ord) as entity_id from entities where ord % 2 = 0)
+select e.cluster, coalesce(r.entity_id, printf('FL-%05d', row_number() over (partition by r.entity_id is null order by e.ord) - 1 + (select greatest(96841, max(ord) + 1) from entities))) as entity_id, r.entity_id is null as issued from entities e left join reg r using (cluster)""")
 def issue_ids(spark, sf):
-    e = clustering.entities(clustering.clusters_of(rows(spark, sf))).select("cluster", "ord")
-    registry = e.where("ord % 2 = 0").select("cluster", F.concat(F.lit("FL-"), F.lpad(F.col("ord").cast("string"), 5, "0")).alias("entity_id"))
-    return clustering.issue_ids(e, registry, 96841).select("cluster", "entity_id", "issued")
+    """Clusters with ids; the next number is beyond all that the registry holds."""
+    e = keep(clustering.entities(clustering.clusters_of(rows(spark, sf))).select("cluster", "ord"), "entities")
+    registry = e.where("ord % 2 = 0").select("cluster", F.format_string("FL-%05d", "ord").alias("entity_id"))
+    next_no = max(96841, (e.agg(F.max("ord")).first()[0] or 0) + 1)
+    return clustering.issue_ids(e, registry, next_no).select("cluster", "entity_id", "issued")
 
 
 @query("registry_lookup", _ATTACH + """, c as (select cluster, min(ord) as ord from final group by 1), alts as (select distinct cluster, sig as alt from final where sig <> cluster),
