@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,17 +66,27 @@ def changes(before: DataFrame, after: DataFrame, ids: list[str]) -> DataFrame:
     return both.groupBy("field").agg(F.count_if(F.col("x").isNull()).alias("added"), F.count_if(F.col("y").isNull()).alias("removed"), F.count_if(F.col("x") != F.col("y")).alias("changed"))
 
 
+def exists(spark, path: str) -> bool:
+    """Whether a file or folder is there; any other failure to look is an error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def write_version(df: DataFrame, root: str, version: str, part: str | None = None) -> str:
-    """Writes a new version beside the old ones and then names it in a pointer, written last."""
+    """Writes a new version beside the old ones and then names it in a pointer.
+
+    Pointers are added, never rewritten, so at any moment the last one names a whole version. A version that is whole
+    already is not written again; what a broken run left of one is.
+    """
     path = f"{root}/version={version}"
-    writer = df.write.mode("errorifexists")
-    (writer.partitionBy(part) if part else writer).parquet(path)
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{root}/current")
+    if not exists(df.sparkSession, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path, partitionBy=part)
+    df.sparkSession.createDataFrame([(version, time.time_ns())], "version string, at long").coalesce(1).write.mode("append").json(f"{root}/current")
     return path
 
 
 def read_version(spark, root: str) -> DataFrame:
-    version = spark.read.schema("version string").json(f"{root}/current").first()[0]
+    version = spark.read.schema("version string, at long").json(f"{root}/current").agg(F.max_by("version", "at")).first()[0]
     return spark.read.parquet(f"{root}/version={version}")
 
 

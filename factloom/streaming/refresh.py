@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators.incremental import refresh
 from factloom.operators.survivorship import Rules
-from factloom.operators.tables import read_version, write_version
+from factloom.operators.tables import exists, read_version, write_version
 
 
 def fact_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
@@ -17,38 +17,28 @@ def fact_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
 
 
 def refresher(spark: SparkSession, root: str, rules: Rules, fields: list[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: appends new facts once and writes golden's next version.
+    """A foreachBatch function: adds a batch's new facts to root/facts and writes golden's next version.
 
-    Versions are named by batch, facts are told apart by row_hash, so a batch that runs again changes nothing.
+    Facts are told apart by row_hash and kept in a folder a batch; versions are named by batch. A batch that runs again
+    writes its own folder again and changes nothing else. Only what is not there yet counts as empty; any failure to
+    read what is there ends the batch, which the stream then repeats.
     """
-    from py4j.protocol import Py4JJavaError
-    from pyspark.errors import AnalysisException, PySparkException
-
-    def current(name: str, empty: DataFrame) -> DataFrame:
-        try:
-            return read_version(spark, f"{root}/{name}")
-        except (AnalysisException, PySparkException, Py4JJavaError):
-            return empty
+    facts_at, golden_at = f"{root}/facts", f"{root}/golden"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         from factloom.operators.survivorship import golden
 
-        new = batch.dropDuplicates(["row_hash"]).persist()
-        try:
-            facts = current("facts", new.limit(0))
-            fresh = new.join(facts.select("row_hash"), "row_hash", "left_anti")
-            everything = facts.unionByName(fresh)
-            before = current("golden", golden(new.limit(0), rules, fields))
-            after, _ = refresh(before, everything, fresh, rules, fields)
-            stamp = f"{batch_id:09d}"
-            for name, df in (("golden", after), ("facts", everything)):
-                try:
-                    write_version(df, f"{root}/{name}", stamp)
-                except AnalysisException:
-                    # The batch was written before it was acknowledged.
-                    spark.createDataFrame([(stamp,)], "version string").coalesce(1).write.mode("overwrite").json(f"{root}/{name}/current")
-        finally:
-            new.unpersist()
+        new = batch.dropDuplicates(["row_hash"])
+        own = f"{facts_at}/batch={batch_id}"
+        # What this batch wrote before it broke off is no fact of the past.
+        facts = spark.read.parquet(facts_at).where(F.col("batch") != batch_id).drop("batch").select(*batch.columns) if exists(spark, facts_at) else None
+        fresh = new if facts is None else new.join(facts.select("row_hash"), "row_hash", "left_anti").select(*batch.columns)
+        fresh.write.mode("overwrite").parquet(own)
+        fresh = spark.read.schema(batch.schema).parquet(own)
+        everything = fresh if facts is None else facts.unionByName(fresh)
+        before = read_version(spark, golden_at) if exists(spark, f"{golden_at}/current") else golden(fresh.limit(0), rules, fields)
+        after, _ = refresh(before, everything, fresh, rules, fields)
+        write_version(after, golden_at, f"{batch_id:09d}")
 
     return run
 
