@@ -22,14 +22,20 @@ def firms(spark, sf):
     )
 
 
-@query("name_variants")
+_FIRMS = """firms as (select s_suppkey as id, case s_suppkey % 5 when 0 then 'Acme ' || n || ' Homes, Inc.' when 1 then 'ACME ' || n || ' HOMES - Plant 2' when 2 then 'Beta Steel d/b/a Acme ' || n || ' Homes' when 3 then 'Gamma ' || n || ' Works' else 'Homes & Steel LLC' end as name from (select *, (s_suppkey // 10) % 6 as n from supplier))"""
+
+
+@query("name_variants", "with " + _FIRMS + r""", sides as (select id, unnest(regexp_split_to_array(replace(lower(name), '&', ' and '), '\bd/b/a\b')) as side from firms),
+words as (select id, list_filter(string_split(trim(regexp_replace(regexp_replace(side, '\s[-–—|]\s.*$', ''), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: w not in ('inc', 'llc', 'the', 'co', 'company')) as w from sides),
+named as (select id, regexp_replace(array_to_string(w, ' '), '(?:(?:^| )(?:plant|number|[0-9]+))+$', '') as v from words)
+select id, list_sort(list_distinct(list(v))) as variants from named where v <> '' group by id""")
 def name_variants(spark, sf):
-    return firms(spark, sf).select("id", research.name_variants("name").alias("variants"))
+    return firms(spark, sf).select("id", research.name_variants(F.col("name")).alias("variants"))
 
 
 @query("parcel_duplicates")
 def parcel_duplicates(spark, sf):
-    rows = firms(spark, sf).withColumn("variants", research.name_variants("name"))
+    rows = firms(spark, sf).withColumn("variants", research.name_variants(F.col("name")))
     pairs = research.parcel_pairs(rows).withColumn("street", streets.street_rule("a_address", "b_address")).where(~F.col("street").startswith("!"))
     return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "street", research.name_tier("a_", "b_").alias("tier"))
 
