@@ -80,28 +80,42 @@ def html_tables(pages: DataFrame, id_col: str = "page_id", html: str = "html") -
 def quote_pairs(quotes: DataFrame, pages: DataFrame, quote: str, page: str, gram: int = 5) -> DataFrame:
     """Pairs of a quote and a page that holds it word for word, white space aside.
 
-    Every page that holds a quote holds the quote's rarest run of `gram` words. That run is the join key, so a
-    quote meets the pages of one rare run and is then checked as a whole. Quotes with fewer than `gram` inner words
-    meet pages by single words (short_quotes).
+    Every page that holds a quote holds each of its inner runs of `gram` words. Only runs that some quote has are taken
+    from the pages, without the pages' texts; the run that the fewest pages hold is the quote's join key, and the texts
+    of the pages that hold it are checked as a whole. Quotes with fewer inner words meet pages by single words
+    (short_quotes).
     """
-    q = quotes.withColumn("_q", squeeze(F.col(quote))).where("_q <> ''")
-    words = F.split("_q", " ")
-
-    def grams(w, n):
-        return F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, n), " ")))
-
-    q = q.withColumn("_w", words).withColumn("_n", F.least(F.size("_w"), F.lit(gram)))
-    # The first and last word of a quote may be parts of words in the page: inner runs are keys where there are any.
-    inner = F.slice("_w", 2, F.greatest(F.size("_w") - 2, F.lit(0)))
-    q = q.withColumn("_key", F.when(F.size("_w") >= gram + 2, F.array_min(grams(inner, gram))))
-    p = pages.withColumn("_p", squeeze(F.col(page))).withColumn("_pw", F.split("_p", " "))
-    keys = p.where(F.size("_pw") >= gram).withColumn("_key", F.explode(F.array_distinct(grams(F.col("_pw"), gram)))).drop("_pw")
-    met = q.where("_key is not null").join(keys, "_key").where(F.instr("_p", F.col("_q")) > 0)
-    met = met.drop("_q", "_w", "_n", "_key", "_p")
-    short = q.where("_key is null")
+    from factloom.operators.graph import keep
+
+    q = quotes.withColumn("_q", squeeze(F.col(quote))).where("_q <> ''").withColumn("_w", F.split("_q", " "))
+
+    def grams(w, enough):
+        # Rows with too few words may come here before they are filtered.
+        return F.when(enough, F.transform(F.sequence(F.lit(0), F.size(w) - gram), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, gram), " "))))
+
+    # The first and last word of a quote may be parts of words in the page.
+    enough = F.size("_w") >= gram + 2
+    long = q.where(enough).withColumn("_runs", F.array_distinct(grams(F.slice("_w", 2, F.greatest(F.size("_w") - 2, F.lit(0))), enough)))
+    runs = keep(long.select(F.explode("_runs").alias("_key")).distinct(), "quote-runs")
+    ids = [c for c in pages.columns if c != page]
+    p = pages.withColumn("_p", squeeze(F.col(page))).withColumn("_pw", F.split("_p", " ")).withColumn("_h", F.xxhash64("_p"))
+    held = p.where(F.size("_pw") >= gram).select(*ids, "_h", F.explode(F.array_distinct(grams(F.col("_pw"), F.size("_pw") >= gram))).alias("_key"))
+    held = keep(held.join(runs, "_key", "left_semi").distinct(), "page-runs")
+    rare = held.groupBy("_key").agg(F.count("*").alias("_n"))
+    number = keep(long.withColumn("_no", F.monotonically_increasing_id()), "long-quotes")
+    key = number.select("_no", F.explode("_runs").alias("_key")).join(rare, "_key").groupBy("_no").agg(F.min(F.struct("_n", "_key")).alias("_k"), F.count("*").alias("_found"))
+    # A run that no page holds leaves a quote without pages.
+    whole = number.join(key, "_no").where(F.col("_found") == F.size("_runs")).select(*quotes.columns, "_q", F.col("_k._key").alias("_key"))
+    met = whole.join(held.select(*[F.col(c).alias(f"_i{n}") for n, c in enumerate(ids)], F.col("_h").alias("_ph"), "_key"), "_key").drop("_key")
+    same = F.col("_h") == F.col("_ph")
+    for n, c in enumerate(ids):
+        same &= F.col(f"_x.{c}").eqNullSafe(F.col(f"_i{n}"))
+    met = met.join(p.drop("_pw").alias("_x"), same).where(F.instr("_p", F.col("_q")) > 0)
+    met = met.select(*quotes.columns, *[F.col(f"_x.{c}") for c in pages.columns])
+    short = q.where(F.size("_w") < gram + 2)
     if short.isEmpty():
         return met
-    return met.unionByName(short_quotes(short.select(*quotes.columns, "_q", "_w"), p))
+    return met.unionByName(short_quotes(short.select(*quotes.columns, "_q", "_w"), p.drop("_h")))
 
 
 def short_quotes(q: DataFrame, p: DataFrame) -> DataFrame:

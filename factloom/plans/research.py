@@ -64,24 +64,24 @@ def place_match(spark, sf):
 
 
 @query("donor_points", """
-with t as (select c_custkey as id, c_custkey % 120 as k1, c_nationkey as k2 from customer where c_custkey % 2 = 0),
+with t as (select c_custkey as id, c_custkey % 120 as k1, c_nationkey as k2 from customer),
 g as (select s_suppkey % 120 as k1, s_nationkey as k2, 'p' || (s_suppkey % 60) as point from supplier),
 a as (select t.id, count(distinct point) as n, min(point) as point from t join g using (k1, k2) group by 1),
 b as (select t.id, count(distinct point) as n, min(point) as point from t join g using (k1) where t.id not in (select id from a) group by 1)
 select id, point, 'name and place' as how from a where n = 1 union all select id, point, 'name' from b where n = 1""")
 def donor_points(spark, sf):
-    t = table(spark, sf, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % 120).cast("string").alias("k1"), F.col("c_nationkey").cast("string").alias("k2"))
+    t = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % 120).cast("string").alias("k1"), F.col("c_nationkey").cast("string").alias("k2"))
     g = table(spark, sf, "supplier").select((F.col("s_suppkey") % 120).cast("string").alias("k1"), F.col("s_nationkey").cast("string").alias("k2"), F.concat(F.lit("p"), F.col("s_suppkey") % 60).alias("point"))
     return research.donors(t, g, [("name and place", [F.col("k1"), F.col("k2")]), ("name", [F.col("k1")])])
 
 
 @query("look_alikes", """
-select p.p_partkey as id, g.p_partkey as entity, 'name' as why from part p join part g on p.p_name = g.p_name and p.p_partkey % 10 = 0 and g.p_partkey % 10 = 5 and p.p_size % 3 = g.p_size % 3
-union select p.p_partkey, g.p_partkey, 'address' from part p join part g on p.p_brand = g.p_brand and p.p_type = g.p_type and p.p_partkey % 10 = 0 and g.p_partkey % 10 = 5 and p.p_size % 3 = g.p_size % 3""")
+select p.p_partkey as id, g.p_partkey as entity, 'name' as why from part p join part g on p.p_name = g.p_name and p.p_partkey % 2 = 0 and g.p_partkey % 2 = 1 and p.p_size % 3 = g.p_size % 3
+union select p.p_partkey, g.p_partkey, 'address' from part p join part g on p.p_brand = g.p_brand and p.p_type = g.p_type and p.p_partkey % 2 = 0 and g.p_partkey % 2 = 1 and p.p_size % 3 = g.p_size % 3""")
 def look_alikes(spark, sf):
     state = F.element_at(F.array(F.lit("tx"), F.lit("New York"), F.lit("CA")), (F.col("p_size") % 3 + 1).cast("int"))
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.concat(F.initcap("p_name"), F.lit(", Inc.")).alias("name"), state.alias("state"), F.col("p_brand").alias("address"), F.col("p_type").alias("city"))
-    return research.look_alikes(p.where("id % 10 = 0"), p.where("id % 10 = 5").withColumnRenamed("id", "entity"))
+    return research.look_alikes(p.where("id % 2 = 0"), p.where("id % 2 = 1").withColumnRenamed("id", "entity"))
 
 
 @query("source_holders", """
