@@ -12,7 +12,7 @@ The training set is a bounded sample of labelled rows: at most `most_docs` a cla
 a class, in the order of a hash of doc_id. Features seen in fewer than LEAST_DOCS of them are not used.
 Scoring reads every whole text. Source, language and doc_id are never inputs of a score.
 
-Defined cases: null, empty and blank texts score like a document without any signal (below 0.5); null labels
+Defined cases: null, empty and blank texts score 0; null labels
 are not learnt from; an id with several labels counts as toxic if one says so; without documents of both
 classes every score is 0; repeated rows and ids give a row each; an empty table gives an empty result.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm import rolling
-from factloom.llm.common import mapped, portions, table, utf8
+from factloom.llm.common import mapped, portions, release, table, utf8
 
 BUCKETS, DIM, WINDOW, LEAST_DOCS = 1 << 17, 8, 6, 4
 #: A window of fewer features counts as padded with empty ones to so many.
@@ -75,6 +75,31 @@ def bags(data: np.ndarray, offsets: np.ndarray):
     return word, bucket, number, first
 
 
+def bags_of_many(data: np.ndarray, offsets: np.ndarray):
+    """What bags() gives, from some of the texts and some of the words at a time and in 32 bits."""
+    hashes, starts, ends, count = ([np.zeros(0, k)] for k in (np.uint64, np.int32, np.int32, np.int64))
+    for i, j in portions(offsets):
+        part = rolling.LOWER[data[offsets[i] : offsets[j]]]
+        a, b, f = rolling.words(part, offsets[i : j + 1] - offsets[i])
+        hashes.append(rolling.word_hashes(part, a, b))
+        starts.append((a + offsets[i]).astype(np.int32))
+        ends.append((b + offsets[i]).astype(np.int32))
+        count.append(np.diff(f))
+    starts, ends = np.concatenate(starts), np.concatenate(ends)
+    _, one, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    del hashes
+    starts, ends, word, bucket = starts[one], ends[one], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for at in range(0, len(one), 20_000):
+        a, b = starts[at : at + 20_000].astype(np.int64), ends[at : at + 20_000].astype(np.int64)
+        size = b - a
+        own = rolling.LOWER[data[np.repeat(a - (np.cumsum(size) - size), size) + np.arange(size.sum())]]
+        w, x = features(own, np.cumsum(size) - size, np.cumsum(size))
+        word.append((w + at).astype(np.int32))
+        bucket.append(x.astype(np.int32))
+    first = np.concatenate([[0], np.cumsum(np.concatenate(count))])
+    return np.concatenate(word), np.concatenate(bucket), number.astype(np.int32), first
+
+
 def counted(number: np.ndarray, first: np.ndarray) -> np.ndarray:
     """False where a word directly repeats the one before it in its row."""
     fresh = np.ones(len(number), bool)
@@ -100,8 +125,9 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, rounds: int = 4, ba
         return None
     raw = [(t or "").encode() for t in texts]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    word, bucket, number, first = bags(data, offsets)
-    starts = np.searchsorted(word, np.arange(number.max(initial=0) + 2))
+    del raw
+    word, bucket, number, first = bags_of_many(data, offsets)
+    starts = np.searchsorted(word, np.arange(number.max(initial=0) + 2, dtype=np.int32))
     length = np.diff(starts)
 
     def flat(words_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +142,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, rounds: int = 4, ba
     odds = np.log((in_toxic + 0.5) / (y.sum() + 1)) - np.log((in_clean + 0.5) / (len(y) - y.sum() + 1))
     keep = used[bucket]
     word, bucket = word[keep], bucket[keep]
-    starts = np.searchsorted(word, np.arange(number.max(initial=0) + 2))
+    starts = np.searchsorted(word, np.arange(number.max(initial=0) + 2, dtype=np.int32))
     length = np.diff(starts)
 
     rng = np.random.default_rng(seed)
@@ -244,7 +270,9 @@ def sample(docs: DataFrame, labels: DataFrame, most_docs: int, most_chars: int,
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 1500, most_chars: int = 6_000_000) -> Model | None:
-    return train(*sample(docs, labels, most_docs, most_chars))
+    out = train(*sample(docs, labels, most_docs, most_chars))
+    release()
+    return out
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
