@@ -97,9 +97,18 @@ def release() -> None:
         pass  # not glibc
 
 
+LIMIT, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
+
 def mapped(df: DataFrame, run, schema: str) -> DataFrame:
-    """df.mapInArrow(run, schema) with this package on the executors; a worker gives its free memory back at the end of a task."""
-    ship(df.sparkSession)
+    """df.mapInArrow(run, schema) with this package on the executors; a worker gives its free memory back at the end of a task.
+
+    Batches of long texts end at BATCH bytes, where the session leaves Spark's own limit of 64 MB.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(LIMIT) in ("67108864b", "67108864", "64m"):
+        spark.conf.set(LIMIT, BATCH)
 
     def whole(batches):
         from factloom.llm import common
