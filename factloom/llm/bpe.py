@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from factloom.llm.common import mapped, ship, table
 
 NONE = 1 << 62
-#: Matches of up to MEMO_CHARS characters that a task keeps the ids of, some 200 bytes each; it forgets them at its end.
-MEMO, MEMO_CHARS = 250_000, 48
+#: Matches of up to MEMO_CHARS characters whose ids a worker keeps, half of them new: some 40 MB, for all of its tasks.
+MEMO, MEMO_CHARS = 400_000, 48
 _loaded: dict = {}
 
 
@@ -91,11 +91,17 @@ class Coder:
         ranks = self.ranks
 
         class Memo(dict):
+            """What was asked for lately: a full memo becomes the old one, from which what is asked again comes back."""
+
+            old: dict = {}
+
             def __missing__(self, match: str) -> bytes:
-                ids = merge(match.encode(), ranks)
-                packed = b"".join(i.to_bytes(4, "little") for i in ids)
+                packed = self.old.get(match)
+                if packed is None:
+                    packed = b"".join(i.to_bytes(4, "little") for i in merge(match.encode(), ranks))
                 if len(match) <= MEMO_CHARS:
-                    if len(self) >= MEMO:
+                    if len(self) >= MEMO // 2:
+                        self.old = dict(self)
                         self.clear()
                     self[match] = packed
                 return packed
@@ -157,7 +163,6 @@ def encode(docs: DataFrame, raw: bytes, pattern: str, id_col: str = "doc_id", te
                     cols.append(pa.array(lists, pa.list_(pa.int32())))
                     names.append("token_ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
-        own.memo.clear()
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids
