@@ -2,15 +2,16 @@
 
 Distinct vectors are dealt to shards of about SHARD by a hash. Each shard's graph is built at once: a node's
 level is drawn geometrically; on every level each node links to its nearest, thinned so that links point in
-different directions, and links run both ways up to a cap. Queries, in blocks, descend each shard's levels
-and search its lowest level with a beam; shard results merge by score. Scores are cosines in double precision
+different directions, and links run both ways up to a cap. Each graph goes to one task, and the queries stream by
+it in blocks: they descend its levels and search the lowest with a beam; shard results merge by score. Scores are cosines in double precision
 of the original vectors. Equal vectors are one node with their least ids: of any number of equal vectors only
 the smallest ids can be among the nearest.
 
 Defined cases: vectors null, empty, zero or holding null or non-finite components, and rows with null ids,
 take no part; vectors of another length are of another space and never met; repeated rows count once; a
 query's own id is no candidate of it; fewer candidates than k give fewer rows; an empty table gives an empty
-result; other columns are ignored.
+result; other columns are ignored. Vectors of any
+finite magnitude take part: they are scaled by powers of two, which changes no cosine.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import save, ship, table
+from factloom.llm.common import mapped, save, ship, table
 
 SHARD, LINKS, WIDE, BEAM, BLOCK = 8192, 16, 64, 96, 512
 SALTS = 64
@@ -156,7 +157,8 @@ def index(rows: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
 
         pdf = pdf.sort_values("v", key=lambda s: s.map(lambda x: x.tobytes()))
         raw = np.stack(pdf["v"].to_numpy())
-        unit = (raw / np.linalg.norm(raw / np.abs(raw).max(1, keepdims=True), axis=1, keepdims=True) / np.abs(raw).max(1, keepdims=True)).astype(np.float32)
+        unit = neighbours.exact(raw)
+        unit = (unit / np.linalg.norm(unit, axis=1, keepdims=True)).astype(np.float32)
         ids = np.full((len(pdf), k + 1), -1, np.int64)
         have = np.zeros((len(pdf), k + 1), bool)
         for i, x in enumerate(pdf["ids"]):
@@ -167,51 +169,76 @@ def index(rows: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
     return save(dealt.select("space", "shard", "v", "ids").groupBy("space", "shard").applyInPandas(make, "space int, shard bigint, body binary"), "graphs")
 
 
+def exact(x: np.ndarray) -> np.ndarray:
+    """Rows by the power of two that brings their largest component to [0.5, 1): a cosine keeps its every bit, and no square overflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
+def answers(arrays: dict[str, np.ndarray], own: np.ndarray, q: np.ndarray, k: int, beam: int):
+    """(query_id, vec_id, score) of the k best of a shard's vectors for each query, its own id left out."""
+    raw, ids, have, unit = (arrays[x] for x in ("raw", "ids", "have", "unit"))
+    q = exact(q)
+    part = (q / np.linalg.norm(q, axis=1, keepdims=True)).astype(np.float32)
+    found = search(unit, arrays["graph"], part, min(4 * k + 4, len(unit)), beam)
+    score = np.einsum("qd,qjd->qj", q, raw[found]) / (np.sqrt((q**2).sum(1))[:, None] * arrays["length"][found])
+    hit, col = np.nonzero(found >= 0)
+    node = found[hit, col]
+    row, member = np.nonzero(have[node])
+    q_id, v_id, s, qi = own[hit[row]], ids[node[row], member], score[hit[row], col[row]], hit[row]
+    other = q_id != v_id
+    q_id, v_id, s, qi = q_id[other], v_id[other], s[other], qi[other]
+    order = np.lexsort((v_id, -s, qi))
+    keep = order[np.arange(len(order)) - np.searchsorted(qi[order], qi[order]) < k]
+    return q_id[keep], v_id[keep], s[keep]
+
+
+def opened(body: bytes) -> dict:
+    """A shard's graph as search() wants it."""
+    graph = dict(np.load(io.BytesIO(body)))
+    raw, ids, have = (graph.pop(x) for x in ("raw", "ids", "have"))
+    raw = exact(raw)
+    length = np.sqrt((raw**2).sum(1))
+    return {"raw": raw, "ids": ids, "have": have, "unit": (raw / length[:, None]).astype(np.float32), "length": length, "graph": graph}
+
+
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", beam: int = BEAM, shard: int = SHARD) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest of rows found for every row of queries."""
+    """query_id, rank, vec_id, score: the k nearest of rows found for every row of queries.
+
+    A task gets each of its shards once, the graph first and then the queries, which stream by in blocks.
+    """
     graphs = index(valid(rows, id_col, vec_col), k, shard)
     asked = save(valid(queries, id_col, vec_col).distinct().withColumn("space", F.size("v")), "queries")
-    blocks = asked.groupBy("space").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    many = graphs.groupBy("space").agg(F.count("*").alias("shards"))
-    left = graphs.join(blocks, "space").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("space", "shard", "block", "body")
-    right = asked.join(blocks, "space").join(many, "space").withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")))
-    right = right.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).select("space", "shard", "block", "id", "v")
+    places = graphs.select("space", "shard").groupBy("space").agg(F.collect_list("shard").alias("shards"))
+    right = asked.join(places, "space").select("space", F.explode("shards").alias("shard"), "id", "v", F.lit(None).cast("binary").alias("body"))
+    left = graphs.select("space", "shard", F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("v"), "body")
 
-    def run(key, graph, asked_):
-        import pandas as pd
+    def run(batches):
+        import pyarrow as pa
 
         from factloom.llm import neighbours
 
-        names = {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-        if not len(graph) or not len(asked_):
-            return pd.DataFrame({c: pd.Series([], dtype=t) for c, t in names.items()})
-        arrays = dict(np.load(io.BytesIO(graph["body"].iloc[0])))
-        raw, ids, have = (arrays.pop(x) for x in ("raw", "ids", "have"))
-
-        def scaled(x):
-            x = x / np.abs(x).max(1, keepdims=True)
-            return x / np.linalg.norm(x, axis=1, keepdims=True)
-
-        unit, out = scaled(raw).astype(np.float32), []
-        asked_ = asked_.sort_values("id", kind="stable")
-        own, q = asked_["id"].to_numpy(), np.stack(asked_["v"].to_numpy())
-        for i in range(0, len(q), 128):
-            part = q[i : i + 128]
-            found = neighbours.search(unit, arrays, scaled(part).astype(np.float32), min(4 * k + 4, len(unit)), beam)
-            score = np.einsum("qd,qjd->qj", part, raw[found]) / (np.sqrt((part**2).sum(1))[:, None] * np.sqrt((raw**2).sum(1))[found])
-            hit, col = np.nonzero(found >= 0)
-            node = found[hit, col]
-            row, member = np.nonzero(have[node])
-            q_id, v_id, s = own[i + hit[row]], ids[node[row], member], score[hit[row], col[row]]
-            other = q_id != v_id
-            q_id, v_id, s, qi = q_id[other], v_id[other], s[other], hit[row][other]
-            order = np.lexsort((v_id, -s, qi))
-            keep = order[np.arange(len(order)) - np.searchsorted(qi[order], qi[order]) < k]
-            out.append(pd.DataFrame({"query_id": q_id[keep], "vec_id": v_id[keep], "score": s[keep]}))
-        return pd.concat(out, ignore_index=True)
-
-    keys = ["space", "shard", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, "query_id bigint, vec_id bigint, score double")
+        here, graph = None, None
+        for batch in batches:
+            at = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            i = 0
+            while i < len(at):
+                j = i + 1
+                while j < len(at) and at[j] == at[i] and j - i < neighbours.BLOCK:
+                    j += 1
+                part = batch.slice(i, j - i)
+                if at[i] != here:
+                    # Of a shard's rows the graph comes first.
+                    here, graph = at[i], neighbours.opened(part.column(4)[0].as_py())
+                    part = part.slice(1)
+                if len(part):
+                    v = part.column(3)
+                    q = v.flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1)
+                    cols = neighbours.answers(graph, part.column(2).to_numpy(), q, k, beam)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["query_id", "vec_id", "score"])
+                i = j
+
+    dealt = left.unionAll(right).repartition("space", "shard").sortWithinPartitions("space", "shard", F.col("id").asc_nulls_first())
+    found = mapped(dealt, run, "query_id bigint, vec_id bigint, score double")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from factloom.llm import neighbours
 
@@ -43,3 +44,12 @@ def test_recall(spark):
     got, want = result(spark, rows, shard=800), brute(rows, 5)
     hits = sum(len({i for _, i in got[q]} & {i for _, i in w}) for q, w in want.items())
     assert hits >= 0.95 * sum(map(len, want.values()))
+
+
+def test_vectors_of_any_magnitude(spark):
+    rows = [(50, [1e200, 1e200]), (1, [1e200, 2e200]), (2, [1.0, 1.0]), (3, [1e-310, 1.1e-310]), (100, [3e-320, 0.0]), (4, [-1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [(r["query_id"], r["vec_id"], r["score"]) for r in neighbours.nearest(df, df.where("vec_id % 50 = 0"), 2).orderBy("query_id", "rank").collect()]
+    assert [g[:2] for g in got] == [(50, 2), (50, 3), (100, 2), (100, 50)] and got[0][2] == pytest.approx(1.0, abs=1e-15)
+    assert got[2][2] == got[3][2] == pytest.approx(2**-0.5)
+
