@@ -3,7 +3,8 @@
 A fact is (entity, field, value, source, source_class, retrieved, asserted_at, basis, site_visit, confidence,
 row_hash, ord). Rules are data: for each field an ordered list of tokens (a source, class:X, basis:Y or
 site_visit). The rank of a fact is an expression made from the rules, so one pass ranks all fields; winners are
-aggregates with map-side combination, so no entity's facts are gathered or sorted.
+aggregates with map-side combination, so no entity's facts are gathered in one task; a task of many entities may
+sort its own rows first (spark.sql.objectHashAggregate.sortBased.fallbackThreshold).
 """
 
 from __future__ import annotations

@@ -303,7 +303,7 @@ def set_intersect(spark, sf):
 
 @query("set_except", "select c_custkey % 700 as k from customer except select s_suppkey * 3 from supplier")
 def set_except(spark, sf):
-    return table(spark, sf, "customer").select((F.col("c_custkey") % 700).alias("k")).exceptAll(table(spark, sf, "supplier").select(F.col("s_suppkey") * 3)).distinct().join(table(spark, sf, "supplier").select((F.col("s_suppkey") * 3).alias("k")), "k", "left_anti")
+    return table(spark, sf, "customer").select((F.col("c_custkey") % 700).alias("k")).subtract(table(spark, sf, "supplier").select(F.col("s_suppkey") * 3))
 
 
 @query("semi_flags", "select c_custkey, exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'P') as has_pending, c_custkey in (select o_custkey from orders where o_totalprice > 400000) as has_large from customer")

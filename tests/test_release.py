@@ -72,3 +72,12 @@ def test_a_stream_that_cannot_read_its_past_stops_and_loses_nothing(spark, tmp_p
     broken.write_bytes(held)
     refresh.run_available(refresh.fact_stream(spark, source, ts.SCHEMA), step, at)
     assert ts.as_dict(tables.read_version(spark, f"{root}/golden")) == ts.plain_golden(rows)
+
+
+def test_issued_ids_are_unique_whatever_their_length(spark):
+    from factloom.operators import clustering
+
+    rows = spark.range(300).selectExpr("concat('c', id) as cluster", "id as ord")
+    registry = rows.where("ord < 5").selectExpr("cluster", "format_string('FL-%05d', ord) as entity_id")
+    got = [r["entity_id"] for r in clustering.issue_ids(rows, registry, 99_990).collect()]
+    assert len(set(got)) == 300 and {"FL-00004", "FL-99999", "FL-100000", "FL-100284"} <= set(got)
