@@ -147,7 +147,11 @@ def crosswalk_candidates(control: DataFrame, facilities: DataFrame, matched: Dat
     place = F.concat_ws("|", city_key(F.col("city")), F.upper("state"))
     c = control.join(matched.select("control_id").distinct(), "control_id", "left_anti").select("control_id", words().alias("cw"), place.alias("place"), words()[0].alias("head")).where((F.length("head") >= 3) & ~F.col("place").rlike(r"^\||\|$"))
     f = facilities.join(matched.select("facility_id").distinct(), "facility_id", "left_anti").select("ord", "facility_id", F.array_distinct(words()).alias("fw"), place.alias("place"))
-    met = c.join(f.withColumn("head", F.explode("fw")), ["place", "head"])
+    # What a place and word find is the same for all control rows: one facility (a facility twice under one order: each of its names).
+    held = f.withColumn("head", F.explode("fw"))
+    least = held.groupBy("place", "head").agg(F.min(F.struct("ord", "facility_id")).alias("x")).select("place", "head", "x.*")
+    same = (held["place"] == least["place"]) & (held["head"] == least["head"]) & held["ord"].eqNullSafe(least["ord"]) & held["facility_id"].eqNullSafe(least["facility_id"])
+    met = c.join(held.join(least, same, "left_semi").distinct(), ["place", "head"])
     first = met.groupBy("control_id").agg(F.min(F.struct("ord", "facility_id", "head", F.array_join(F.sort_array(F.array_intersect(F.array_distinct("cw"), "fw")), " ").alias("shared"))).alias("x"))
     return first.select("control_id", "x.facility_id", "x.head", "x.shared")
 

@@ -207,3 +207,17 @@ def test_largest_meets_every_place_once(spark, tmp_path, monkeypatch):
 
 def test_building_decision_meets_every_place_once(spark, tmp_path, monkeypatch):
     crowded(spark, monkeypatch, tmp_path, "building_decision")
+
+
+def test_crosswalk_keeps_one_facility_a_place_and_word(spark, monkeypatch):
+    from factloom.operators import review
+
+    control = spark.createDataFrame([(i, f"Acme Works {i % 3}", "Town", "TX") for i in range(40)], "control_id long, name string, city string, state string")
+    places = spark.createDataFrame([(i, i, f"Works Acme {i % 3}", "Town", "TX") for i in range(50, 90)] + [(50, 50, "Acme Zinc 1", "Town", "TX")], "ord long, facility_id long, name string, city string, state string")
+    counts, kind, join = [], type(control), type(control).join
+    monkeypatch.setattr(kind, "join", lambda a, b, on=None, how=None: counts.append(join(a, b, on, how)) or counts[-1])
+    got = review.crosswalk_candidates(control, places, control.where("control_id = 0").select("control_id", F.col("control_id").alias("facility_id")))
+    monkeypatch.undo()
+    want = [(i, 50, "acme", min(" ".join(sorted({"acme", "works", str(i % 3)} & w)) for w in ({"acme", "works", "2"}, {"acme", "zinc", "1"}))) for i in range(1, 40)]
+    assert sorted(map(tuple, got.collect())) == want
+    assert max(x.count() for x in counts) <= 2 * 3 * 41
