@@ -55,7 +55,7 @@ def measured(docs: DataFrame, k: int, t: int) -> DataFrame:
 
 
 def met(docs: DataFrame, k: int, t: int) -> DataFrame:
-    """(token, cls): the keys that two classes or more share."""
+    """(token, cls, pos): the keys that two classes or more share; pos tells which rows stand for others (sets.local_ties)."""
     local = sets.LOCAL
 
     def run(batches):
@@ -74,11 +74,12 @@ def met(docs: DataFrame, k: int, t: int) -> DataFrame:
                 held.append((cls[row], key))
                 size += len(key)
                 if size > 500_000 or j == len(offsets) - 1:
-                    own, key = sets.local_ties(*(np.concatenate(x) for x in zip(*held, strict=True)), local)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(own.view(np.int64))], ["token", "cls"])
+                    own, key, pos = sets.local_ties(*(np.concatenate(x) for x in zip(*held, strict=True)), local)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(own.view(np.int64)), pa.array(pos)], ["token", "cls", "pos"])
                     held, size = [], 0
 
-    return sets.shared(mapped(keyed(docs).select("text"), run, "token bigint, cls bigint"), "token bigint, cls bigint", "met")
+    columns = "token bigint, cls bigint, pos int"
+    return sets.shared(mapped(keyed(docs).select("text"), run, columns), columns, "met")
 
 
 class Tree:
@@ -199,7 +200,7 @@ def linked(first: np.ndarray, tokens: np.ndarray, t: int) -> list[tuple[int, int
 def links(docs: DataFrame, found: DataFrame, k: int = K, t: int = LIKE) -> DataFrame:
     """(cls, component) of every class that may be linked to another; found as measured() gives it."""
     one = found.where("n > 0").dropDuplicates(["cls"])
-    cells = met(docs, k, t).join(one.select("cls", "n", "odd"), "cls").withColumn("pos", F.lit(None).cast("int"))
+    cells = met(docs, k, t).join(one.select("cls", "n", "odd"), "cls")
     edges = save(sets.families(cells, t), "family-edges")
     nodes = edges.select(F.col("a").alias("node")).unionAll(edges.select("b")).distinct()
     family = components(edges, nodes).select(F.col("node").alias("cls"), F.col("component").alias("family"))

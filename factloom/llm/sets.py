@@ -200,10 +200,15 @@ def part_keys(first: np.ndarray, tokens: np.ndarray, t: int, wanted: np.ndarray
 LOCAL = 32
 
 
-def local_ties(cls: np.ndarray, keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(cls, key) rows with each class once a key; keys of over `most` classes keep their least one, to which the others are tied.
+#: The position of a row that stands for others of its key: all that have the key become one family.
+TIED = -2
 
-    A tie is a key of its own, with the lowest bit set, that two classes share.
+
+def local_ties(cls: np.ndarray, keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cls, key, pos) rows with each class once a key; keys of over `most` classes keep their least one, to which the others are tied.
+
+    A tie is a key of its own, with the lowest bit set, that two classes share. The row that is kept has the position
+    TIED: who meets it elsewhere may be linked to one that it stands for, so no bound is asked there.
     """
     order = np.lexsort((cls, keys))
     cls, keys = cls[order], keys[order]
@@ -213,13 +218,14 @@ def local_ties(cls: np.ndarray, keys: np.ndarray, most: int) -> tuple[np.ndarray
     size = group_sizes(keys)
     many = np.repeat(size > most, size)
     if not many.any():
-        return cls, keys
+        return cls, keys, np.full(len(keys), -1, np.int32)
     begin = np.repeat(np.cumsum(size) - size, size)
     lead = begin == np.arange(len(keys))
     a, b = cls[begin[many & ~lead]], cls[many & ~lead]
     pair, one = np.unique(rolling.mix(a ^ rolling.mix(b)) | np.uint64(1), return_index=True)
     keep = ~many | lead
-    return np.concatenate([cls[keep], a[one], b[one]]), np.concatenate([keys[keep], pair, pair])
+    pos = np.concatenate([np.where(many, TIED, -1)[keep], np.full(2 * len(one), -1)]).astype(np.int32)
+    return np.concatenate([cls[keep], a[one], b[one]]), np.concatenate([keys[keep], pair, pair]), pos
 
 
 def whole_groups(batches, names, key: str = "token"):
@@ -246,7 +252,7 @@ def whole_number(docs: DataFrame, column: str):
 
 
 def shared(rows: DataFrame, columns: str, name: str) -> DataFrame:
-    """The rows of tokens that two classes or more share, each class once a token. rows: (token, cls, ...), columns: their kinds."""
+    """The rows of tokens that two classes or more share, each class once a token, by its least row. rows: (token, cls, ...), columns: their kinds."""
     names = [x.split()[0] for x in columns.split(", ")]
 
     def run(batches):
@@ -261,7 +267,7 @@ def shared(rows: DataFrame, columns: str, name: str) -> DataFrame:
             both[1:] |= again
             both[:-1] |= again
             g = {c: v[both] for c, v in g.items()}
-            order = np.lexsort((g["cls"], g["token"]))
+            order = np.lexsort((*(g[c] for c in names[:1:-1]), g["cls"], g["token"]))
             g = {c: v[order] for c, v in g.items()}
             token, cls = g["token"], g["cls"]
             new = np.ones(len(token), bool)
@@ -372,10 +378,11 @@ MEMO = 200_000
 
 
 def families(cells: DataFrame, t: int) -> DataFrame:
-    """Edges (a, b) whose components hold every link. cells: (token, cls, n, odd, pos), pos null where there is no order.
+    """Edges (a, b) whose components hold every link. cells: (token, cls, n, odd, pos), pos null or negative where there is no order.
 
     Sets of a and b tokens that share one at positions i and j of the global order have at most
-    min(i, j) + min(a - i, b - j) in common. Tokens with the lowest bit set and no position join all their rows.
+    min(i, j) + min(a - i, b - j) in common. Tokens with the lowest bit set and no position join all their rows, and so
+    do those of which one row is TIED.
     """
 
     frequent = FREQUENT
@@ -394,7 +401,8 @@ def families(cells: DataFrame, t: int) -> DataFrame:
             signs, out = sets.Signs(n, part.column("odd")), []
             size = sets.group_sizes(token)
             begin = np.cumsum(size) - size
-            every = ((token[begin] & 1 == 1) & (pos[begin] < 0)) | (size > frequent) | more
+            tied = np.minimum.reduceat(pos, begin) == sets.TIED
+            every = ((token[begin] & 1 == 1) & (pos[begin] < 0)) | tied | (size > frequent) | more
 
             def may(i, j, pos=pos, signs=signs):
                 a, b = signs.n[i], signs.n[j]

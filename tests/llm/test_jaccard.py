@@ -109,6 +109,24 @@ def test_frequent_keys_lose_nothing(spark, monkeypatch):
     assert sorted(map(tuple, jaccard.join(df, 4, 85).collect())) == brute(rows, 4, 85)
 
 
+def test_a_row_that_stands_for_others_meets_their_partners(spark):
+    """b is near only to a, all of whose keys are frequent in a's batch and led there by sets that are far from b."""
+    rng = np.random.default_rng(3)
+
+    def cls(words):
+        text = " ".join(words).encode()
+        return int(sets.classes(*sets.unit_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 1))[0])
+
+    a = max(([f"w{i}x{j}" for j in range(40)] for i in range(300)), key=cls)
+    far = [[f"v{i}x{j}" if j in gone else w for j, w in enumerate(a)] for i in range(1000) for gone in [set(rng.permutation(40)[:10].tolist())]]
+    one = [(i + 10, " ".join(w)) for i, w in enumerate(far)] + [(1, " ".join(a))]
+    two = [(2, " ".join([*a[:-2], "other"]))]
+    sc = spark.sparkContext
+    df = spark.createDataFrame(sc.union([sc.parallelize(x, 1) for x in (one, two)]), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(df, 1, 85).collect()}
+    assert got[1] == got[2] == 1 and [got[i] for i, _ in one[:-1]] == [i for i, _ in one[:-1]]
+
+
 def test_linked_equals_all_pairs():
     rng = np.random.default_rng(2)
     for turn in range(20):
