@@ -2,13 +2,14 @@
 
 Candidate blocks are the words around each cue (a word that license wordings use), as far to both sides as the
 longest wording reaches and across line ends; blocks that touch are one. Comment marks are no words, and a word
-that a line end cuts at its hyphen is whole. A template is confirmed wherever its exact wording is: at the run
-of words that the least number of word insertions, deletions and changes turns it into, which must not exceed
-DIFFER of the template's words. Templates are taken by the share of words that differ, the longer one first in a tie, then the one that
-saves more bytes of the block as a raw zstandard dictionary. One whose run lies in that of one taken before, but
-for as many words as it may differ by, is another reading of the same words and dropped, and so is one that a
-longer template of the same license covers. What a template saves cuts none: beside a long wording a short one
-saves next to nothing.
+that a line end cuts at its hyphen is whole. Places of a block are the runs of words that few enough word changes
+turn some template into. The words of each place are compressed alone and with every template as a raw zstandard
+dictionary, and templates are ranked by the bytes they save. The first in that order that the exact wording confirms
+names the place: the word insertions, deletions and changes between the two must not exceed DIFFER of the
+template's words. Ties go by the share of words that differ, then to the longer template. Readings of a block are taken
+by the bytes they save as well. One whose run lies in that of one taken before, but for as many words as it may differ by,
+is another reading of the same words and dropped, and so is one that a longer template of the same license covers.
+Savings rank within a place and cut none: beside a long wording, in a whole block, a short one saves next to nothing.
 
 Defined cases: null and empty texts have no blocks; a block lists each of its licenses once, at its best run;
 several licenses in a text are listed in order of name;
@@ -19,7 +20,9 @@ read. Blocks longer than MOST_WORDS are scanned in overlapping parts, so texts o
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +66,8 @@ TEMPLATES = [
 ]
 CUES = r"licen[cs]|permission|redistribut|copyright|warrant|unencumbered"
 DIFFER, MOST_WORDS = 0.15, 200
+# Lower levels find less of a changed wording in its dictionary: at 3 some wordings with three changes got the name of a near one.
+LEVEL = 9
 # Comment marks that are letters, at the start of a line; all others have no word character and are no words.
 MARKS = re.compile(r"^[ \t]*(?:dnl|rem|c)[ \t]+", re.I | re.M)
 CUT = re.compile(r"(?<=\w-)[ \t\r]*\n[^\w\n]*(?=\w)")
@@ -110,10 +115,11 @@ class Scanner:
         # A wording with words put in reaches further than its own length.
         self.differ, self.reach = differ, max(len(w) + int(differ * len(w)) for _, w in self.templates)
         self.cue = re.compile(cues, re.I | re.A)
-        self.alone = zstandard.ZstdCompressor(level=3)
-        self.given = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, w in self.templates]
+        self.alone = zstandard.ZstdCompressor(level=LEVEL)
+        self.given = [zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, w in self.templates]
         self.bags = [Counter(w) for _, w in self.templates]
         self.known: dict[str, list[tuple]] = {}
+        self.named: dict[str, int | None] = {}
 
     def blocks(self, text: str) -> list[list[str]]:
         """The words around cues."""
@@ -129,44 +135,80 @@ class Scanner:
                 spans.append([a, b])
         return [plain(" ".join(words[a:b])) for a, b in spans]
 
-    def runs(self, words: list[str]) -> list[tuple]:
-        """(share of edits, -words, rank by savings, start, end, template, edits) of every template in a part of a block."""
+    def runs(self, words: list[str]) -> list[tuple[int, int, int, int]]:
+        """(template, edits, start, end) of every template in a part of a block: the places that may have a name."""
         part = " ".join(words)
         if part in self.known:
             return self.known[part]
-        bag, found = Counter(words), []
+        bag, out = Counter(words), []
         for i, (_, template) in enumerate(self.templates):
             most = int(self.differ * len(template))
             # Each of its words that the part lacks is an edit.
             if sum((self.bags[i] - bag).values()) <= most:
-                found += [(i, *run) for run in runs(template, words, most)]
-        rank = {}
-        if len({x[0] for x in found}) > 1:
-            raw = part.encode()
-            size = len(self.alone.compress(raw))
-            saved = {i: 1 - len(self.given[i].compress(raw)) / size for i in {x[0] for x in found}}
-            rank = {i: n for n, i in enumerate(sorted(saved, key=lambda i: (-saved[i], i)))}
-        out = [(n / len(self.templates[i][1]), -len(self.templates[i][1]), rank.get(i, 0), a, b, i, n) for i, n, a, b in found]
-        if len(self.known) >= 100_000:
-            self.known.clear()
-        self.known[part] = out
-        return out
+                out += [(i, *run) for run in runs(template, words, most)]
+        return self.keep(self.known, part, out)
+
+    def keep(self, memo: dict, key: str, value):
+        if len(memo) >= 100_000:
+            memo.clear()
+        memo[key] = value
+        return value
+
+    def saved(self, words: list[str]) -> list[int]:
+        """Bytes that each template as dictionary saves of the words."""
+        raw = " ".join(words).encode()
+        size = len(self.alone.compress(raw))
+        return [size - len(c.compress(raw)) for c in self.given]
+
+    def read(self, words: list[str]) -> int | None:
+        """The template of a place: by the bytes saved the first that word differences confirm."""
+        place = " ".join(words)
+        if place in self.named:
+            return self.named[place]
+        sizes = [len(w) for _, w in self.templates]
+        edits: dict[int, int] = {}
+
+        def confirmed(i: int) -> bool:
+            most = int(self.differ * sizes[i])
+            if abs(sizes[i] - len(words)) > most:
+                return False
+            edits[i] = int(ends(self.templates[i][1], words, False)[-1])
+            return edits[i] <= most
+
+        ranked, out = sorted((-s, i) for i, s in enumerate(self.saved(words))), None
+        for _, equal in groupby(ranked, lambda x: x[0]):
+            if fit := [i for _, i in equal if confirmed(i)]:
+                out = min(fit, key=lambda i: (edits[i] / sizes[i], -sizes[i], i))
+                break
+        return self.keep(self.named, place, out)
 
     def names(self, words: list[str]) -> list[tuple[str, int]]:
         """(license, word differences) of a block's licenses, in order of place."""
-        found: dict[tuple, tuple] = {}
+        found: dict[int, set] = {}
         for at in range(0, max(1, len(words) - self.reach), MOST_WORDS):
-            for share, size, rank, a, b, i, n in self.runs(words[at : at + MOST_WORDS + self.reach]):
-                found.setdefault((at + a, at + b, i), (share, size, rank, at + a, at + b, i, n))
+            for i, n, a, b in self.runs(words[at : at + MOST_WORDS + self.reach]):
+                found.setdefault(i, set()).add((at + a, at + b, n))
+        own = {i: sorted(x) for i, x in found.items()}
+        readings = set()
+        for a, b in {(a, b) for x in found.values() for a, b, _ in x}:
+            i = self.read(words[a:b])
+            # The run of fewest edits that the template has there; its runs are no longer than reach.
+            near = own.get(i, ())[bisect_left(own.get(i, ()), (a - self.reach,)) : bisect_left(own.get(i, ()), (b,))]
+            if there := [x for x in near if x[1] > a]:
+                readings.add((i, *min(there, key=lambda x: (x[2], x))))
+        ranked = []
+        for i, a, b, n in readings:
+            size = len(self.templates[i][1])
+            ranked.append((-self.saved(words[a:b])[i], n / size, -size, a, b, i, n))
         taken, used = [], np.zeros(len(words), bool)
-        for x in sorted(found.values()):
-            if (~used[x[3] : x[4]]).sum() > int(self.differ * -x[1]):
+        for x in sorted(ranked):
+            if (~used[x[3] : x[4]]).sum() > int(self.differ * -x[2]):
                 taken.append(x)
                 used[x[3] : x[4]] = True
         best: dict[str, tuple] = {}
-        for x in sorted(taken, key=lambda x: (x[1], *x)):
+        for x in sorted(taken, key=lambda x: (x[2], x[1], *x)):
             label = self.templates[x[5]][0]
-            if label not in best or (best[label][0] > x[0] and not best[label][3] <= x[3] < x[4] <= best[label][4]):
+            if label not in best or (best[label][1] > x[1] and not best[label][3] <= x[3] < x[4] <= best[label][4]):
                 best[label] = x
         return [(label, x[6]) for label, x in sorted(best.items(), key=lambda y: y[1][3])]
 

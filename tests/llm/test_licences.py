@@ -95,3 +95,19 @@ def test_query_equals_brute_force(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: (r["n_confirmed"], r["licenses"], r["n_differences"]) for r in licences.op8_licences(spark, str(tmp_path)).collect()}
     assert got == want
+
+
+def test_savings_name_a_place_and_word_differences_confirm_it(monkeypatch):
+    own = licences.Scanner()
+    full = [x for name, x in licences.TEMPLATES if name == "BSD-3-Clause"][-1]
+    # The two clauses within stand without a change; the whole saves more.
+    for holder, n in (("Example University", 3), ("the Example Institute of Technology", 4)):
+        assert own.scan(full.replace("the copyright holder", holder))[1] == [("BSD-3-Clause", n)]
+    for i, (_, text) in enumerate(licences.TEMPLATES):
+        assert own.read(licences.plain(text)) == i
+    # What compresses best but is no wording of the place names nothing; the next that word differences confirm does.
+    label = lambda text: own.templates[own.read(licences.plain(text))][0]
+    monkeypatch.setattr(own, "saved", lambda words: [{"MIT": 9, "GPL-3.0": 5}.get(name, 0) for name, _ in own.templates])
+    own.named.clear()
+    assert label("Licensed under CC BY 4.0.") == "CC-BY-4.0"
+    assert label(licences._SHORT.format("General Public License", "2")) == "GPL-3.0"
