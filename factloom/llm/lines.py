@@ -96,14 +96,15 @@ def later_in(first: np.ndarray, tokens: np.ndarray, place: list, t: int) -> set[
 def later_matches(docs: DataFrame, k: int = K, t: int = LIKE, least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, key, lines): the numbers of the lines that go; key as keyed() gives it."""
     found = measured(docs, k, t, least_words)
-    level = sets.read_levels(found.where("kind = 1").select(F.col("cls").alias("bucket"), "n"))
+    level, n = sets.read_levels(found.where("kind = 1").select(F.col("cls").alias("bucket"), "n"))
     # A document that stands in several rows has one place.
     by = Window.partitionBy("cls").orderBy("doc_id", "key", "line")
     ranked = save(found.where("kind = 0").drop("kind").withColumns({"turn": F.row_number().over(by), "place": F.rank().over(by)}), "line-classes")
     first = ranked.where("turn = 1")
     # Tokens of equal rank are ordered by their hash alone, so a token is the same whichever set it comes from.
-    cells = sets.shared(sets.prefixes(keyed(docs), k, t, level, least_words), "token bigint, cls bigint, at bigint", "line-prefixes")
-    cells = cells.select("token", "cls", F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("pos")).join(first.select("cls", "n", "odd"), "cls")
+    parts = sets.parts_of(n * (100 - t) // 100, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    packed = sets.prefixes(docs, k, t, level, least_words, parts)
+    cells = sets.shared_cells(packed, "line-prefixes").join(first.select("cls", "n", "odd"), "cls")
     edges = save(sets.families(cells, t), "line-edges")
     nodes = edges.select(F.col("a").alias("node")).unionAll(edges.select("b")).distinct()
     family = components(edges, nodes).select(F.col("node").alias("cls"), F.col("component").alias("family"))

@@ -49,14 +49,23 @@ def span(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((total[end] - total[start]) * powers(len(total))[1][start] + (end - start).astype(np.uint64) * _TURN[0])
 
 
+def lower(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return data | ((data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words in the rows' bytes, and the first word of each row (with the count as a last entry)."""
-    inside = ~SEPARATES[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[offsets] = True
-    before = np.concatenate([[False], inside[:-1]]) & ~edge[:-1]
-    after = np.concatenate([inside[1:], [False]]) & ~edge[1:]
-    starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    n = len(data)
+    inside = (data != 32) & (data - np.uint8(9) > 4)
+    begins, last = inside.copy(), inside.copy()
+    if n:
+        np.greater(inside[1:], inside[:-1], out=begins[1:])
+        np.greater(inside[:-1], inside[1:], out=last[:-1])
+        # A word ends where its row does.
+        edge = offsets[(offsets > 0) & (offsets < n)]
+        begins[edge], last[edge - 1] = inside[edge], inside[edge - 1]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(last) + 1
     return starts, ends, np.searchsorted(starts, offsets)
 
 
@@ -88,17 +97,19 @@ def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
     if n >= k:
         run = np.full(n - k + 1, np.uint64(k), np.uint64)
         for j in range(k):
-            run = (run ^ hashes[j : n - k + 1 + j]) * (_TURN[j + 1] | np.uint64(1))
+            run ^= hashes[j : n - k + 1 + j]
+            run *= _TURN[j + 1] | np.uint64(1)
             run ^= run >> np.uint64(31)
         run = mix(run)
         whole = count >= k
         take = np.repeat(np.where(whole, first[:-1], 0) - np.where(whole, out_first[:-1], 0), np.where(whole, many, 0))
         place = np.flatnonzero(np.repeat(whole, many))
         out[place] = run[place + take]
-    for i in np.flatnonzero((count > 0) & (count < k)):
-        run = np.full(1, np.uint64(count[i]), np.uint64)
-        for j, h in enumerate(hashes[first[i] : first[i + 1]]):
-            run = (run ^ h) * (_TURN[j + 1] | np.uint64(1))
+    for c in range(1, k):
+        rows = np.flatnonzero(count == c)
+        run = np.full(len(rows), np.uint64(c), np.uint64)
+        for j in range(c):
+            run = (run ^ hashes[first[rows] + j]) * (_TURN[j + 1] | np.uint64(1))
             run ^= run >> np.uint64(31)
-        out[out_first[i]] = mix(run)[0]
+        out[out_first[rows]] = mix(run)
     return out, out_first

@@ -34,7 +34,7 @@ def unit_sets(data: np.ndarray, offsets: np.ndarray, k: int, level: np.ndarray |
 
     level: rarity by sketch bucket; without it the order is by hash.
     """
-    data = rolling.LOWER[data]
+    data = rolling.lower(data)
     starts, ends, first = rolling.words(data, offsets)
     hashes = rolling.word_hashes(data, starts, ends)
     tokens, at = rolling.shingles(hashes, first, k)
@@ -58,7 +58,8 @@ def unit_sets(data: np.ndarray, offsets: np.ndarray, k: int, level: np.ndarray |
     tokens, own = tokens[order], own[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (own[1:] != own[:-1])
-    tokens, own = tokens[new], own[new]
+    if not new.all():
+        tokens, own = tokens[new], own[new]
     return np.searchsorted(own, np.arange(len(offsets))), tokens
 
 
@@ -85,27 +86,49 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.ceil(np.log2(np.maximum(counts, 1) / mean)), 0, 31).astype(np.uint8)
 
 
-def read_levels(sketch: DataFrame) -> np.ndarray:
-    """sketch: (bucket, n). At most SKETCH rows come to the driver."""
+def read_levels(sketch: DataFrame) -> tuple[np.ndarray, int]:
+    """Levels and the number of tokens. sketch: (bucket, n). At most SKETCH rows come to the driver."""
     counts = np.zeros(SKETCH)
     for r in sketch.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         counts[r["bucket"]] = r["n"]
-    return levels(counts)
+    return levels(counts), int(counts.sum())
 
 
-def prefixes(rows: DataFrame, k: int, t: int, level: np.ndarray, least_words: int = 1) -> DataFrame:
-    """(token, cls, at): the prefix of every class of lines, at = n << 32 | pos; a task gives a class once (in a memo of bounded size).
+#: Cells of prefixes that a task gathers before it deals them to parts; the most a part holds on average, and parts a shuffle partition.
+DEAL, PART, SPREAD = 1 << 20, 100_000, 8
+CELL = np.dtype([("token", "<i8"), ("cls", "<i8"), ("pos", "<i4")])
 
-    Sets so small that only an equal set can reach t give none: equal sets are one class.
+
+def parts_of(cells: int, partitions: int) -> int:
+    """Parts for so many cells: so small that a task holds little, so many that hashing spreads them over the partitions."""
+    return max(-(-cells // PART), SPREAD * partitions)
+
+
+def prefixes(rows: DataFrame, k: int, t: int, level: np.ndarray, least_words: int, parts: int) -> DataFrame:
+    """(part, cells): the prefix of every class of lines as packed CELLs, dealt to parts by the token; a task gives a class once (in a memo of bounded size).
+
+    Cells go in runs, as a row for each is far dearer to shuffle and sort. Sets so small that only an equal set can reach t give none: equal sets are one class.
     """
-    given = rows.sparkSession.sparkContext.broadcast(level)
+    given, most = rows.sparkSession.sparkContext.broadcast(level), DEAL
 
     def run(batches):
         import pyarrow as pa
 
-        from factloom.llm import sets
+        from factloom.llm import rolling, sets
+
+        def dealt(held):
+            cells = np.concatenate(held)
+            # Prefixes hold the least hashes of their sets: only mixed anew do they spread evenly.
+            spread = rolling.mix(cells["token"].view(np.uint64) + np.uint64(5)) >> np.uint64(32)
+            part = (spread * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+            cells, size = cells[np.argsort(part, kind="stable")], np.bincount(part, minlength=parts)
+            full = np.flatnonzero(size)
+            ends = pa.array(np.concatenate([[0], np.cumsum(size[full]) * sets.CELL.itemsize]), pa.int64())
+            packed = pa.Array.from_buffers(pa.large_binary(), len(full), [None, ends.buffers()[1], pa.py_buffer(cells)])
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), packed.cast(pa.binary())], ["part", "cells"])
 
         known: set[int] = set()
+        held, gathered = [], 0
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             for i, j in portions(offsets):
@@ -115,11 +138,66 @@ def prefixes(rows: DataFrame, k: int, t: int, level: np.ndarray, least_words: in
                 fresh = sets.fresh(cls, known) & (100 * n >= t * (n + 1))
                 size = np.where(fresh, sets.prefix_length(n, t), 0)
                 own = np.repeat(np.arange(len(n)), size)
-                pos = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-                cols = (tokens[first[own] + pos].view(np.int64), cls[own].view(np.int64), n[own] << 32 | pos)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["token", "cls", "at"])
+                cells = np.empty(len(own), sets.CELL)
+                cells["pos"] = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+                cells["token"], cells["cls"] = tokens[first[own] + cells["pos"]].view(np.int64), cls[own].view(np.int64)
+                held.append(cells)
+                gathered += len(cells)
+                if gathered >= most:
+                    yield from dealt(held)
+                    held, gathered = [], 0
+        if gathered:
+            yield from dealt(held)
+
+    return mapped(rows.select("text"), run, "part bigint, cells binary")
+
+
+def shared_cells(packed: DataFrame, name: str) -> DataFrame:
+    """(token, cls, pos) of the tokens that two classes or more share, each class once a token. packed: (part, cells)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        from factloom.llm import sets
+
+        def settled(held):
+            cells = np.frombuffer(b"".join(held), sets.CELL)
+            held.clear()
+            order = np.argsort(cells["token"])
+            token = cells["token"][order]
+            again = token[1:] == token[:-1]
+            both = np.zeros(len(token), bool)
+            both[1:] |= again
+            both[:-1] |= again
+            g = sets.once({c: cells[c][order[both]] for c in ("token", "cls", "pos")}, ["token", "cls", "pos"])
+            if len(g["token"]):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in g.values()], list(g))
 
-    return mapped(rows.select("text"), run, "token bigint, cls bigint, at bigint")
+        held, own = [], None
+        for batch in batches:
+            for part, cells in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if held and part != own:
+                    yield from settled(held)
+                own = part
+                held.append(cells.as_buffer().to_pybytes())
+        if held:
+            yield from settled(held)
+
+    rows = packed.repartition("part").sortWithinPartitions("part")
+    return save(mapped(rows, run, "token bigint, cls bigint, pos int"), name)
+
+
+def once(g: dict, names: list[str]) -> dict:
+    """The rows of tokens that two classes or more share, each class once a token, by its least row, in order."""
+    order = np.lexsort((*(g[c] for c in names[:1:-1]), g["cls"], g["token"]))
+    g = {c: v[order] for c, v in g.items()}
+    token, cls = g["token"], g["cls"]
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
+    g = {c: v[new] for c, v in g.items()}
+    size = group_sizes(g["token"])
+    keep = np.repeat(size > 1, size)
+    return {c: v[keep] for c, v in g.items()}
 
 
 def fresh(cls: np.ndarray, known: set) -> np.ndarray:
@@ -267,16 +345,9 @@ def shared(rows: DataFrame, columns: str, name: str) -> DataFrame:
             both[1:] |= again
             both[:-1] |= again
             g = {c: v[both] for c, v in g.items()}
-            order = np.lexsort((*(g[c] for c in names[:1:-1]), g["cls"], g["token"]))
-            g = {c: v[order] for c, v in g.items()}
-            token, cls = g["token"], g["cls"]
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
-            g = {c: v[new] for c, v in g.items()}
-            size = sets.group_sizes(g["token"])
-            keep = np.repeat(size > 1, size)
-            if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(g[c][keep]) for c in names], names)
+            g = sets.once(g, names)
+            if len(g["token"]):
+                yield pa.RecordBatch.from_arrays([pa.array(g[c]) for c in names], names)
 
     return save(mapped(rows.repartition("token").sortWithinPartitions("token"), run, columns), name)
 
@@ -431,15 +502,21 @@ def families(cells: DataFrame, t: int) -> DataFrame:
                 joined(*may(rows[i[differ]], rows[j[differ]]))
             for at, s in zip(begin[~every & (size > 64)].tolist(), size[~every & (size > 64)].tolist(), strict=True):
                 _, root = np.unique([union.find(x) for x in cls[at : at + s].tolist()], return_inverse=True)
-                for i in range(s - 1):
-                    # Rows come in order of size.
-                    end = int(np.searchsorted(n[at : at + s], 100 * int(n[at + i]) // t, "right"))
-                    j = np.flatnonzero(root[i + 1 : end] != root[i]) + i + 1
-                    for x in (may(np.full(len(j), at + i), at + j)[1] - at).tolist() if len(j) else ():
-                        if root[x] != root[i]:
-                            union.join(int(cls[at + i]), int(cls[at + x]))
-                            out.append((int(cls[at + i]), int(cls[at + x])))
-                            root[root == root[x]] = root[i]
+                # Rows come in order of size; some rows at a time meet those after them.
+                own = n[at : at + s]
+                later = np.searchsorted(own, 100 * own // t, "right") - np.arange(s) - 1
+                for rows in np.split(np.arange(s), np.flatnonzero(np.diff(np.cumsum(later) >> 15)) + 1):
+                    i = np.repeat(rows, later[rows])
+                    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later[rows]) - later[rows], later[rows])
+                    differ = root[i] != root[j]
+                    if not differ.any():
+                        continue
+                    i, j = may(at + i[differ], at + j[differ])
+                    for x, y in zip((i - at).tolist(), (j - at).tolist(), strict=True):
+                        if root[x] != root[y]:
+                            union.join(int(cls[at + x]), int(cls[at + y]))
+                            out.append((int(cls[at + x]), int(cls[at + y])))
+                            root[root == root[y]] = root[x]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 

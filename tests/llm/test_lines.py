@@ -92,3 +92,32 @@ def test_very_long_line(spark):
     line = " ".join("w%d" % rng.randrange(10**6) for _ in range(200_000))
     df = spark.createDataFrame([(1, line), (2, "x\n" + line + " more"), (3, line[: len(line) // 2])], "doc_id bigint, text string")
     assert {r["doc_id"]: r["text"] for r in lines.dedup(df).collect()} == {1: line, 2: "x", 3: line[: len(line) // 2]}
+
+
+def test_prefixes_are_dealt_in_runs_and_meet_whole(spark, monkeypatch):
+    import numpy as np
+
+    from factloom.llm import sets
+
+    monkeypatch.setattr(sets, "DEAL", 100)
+    docs = spark.createDataFrame(corpus(6), "doc_id bigint, text string").repartition(3)
+    level = np.arange(sets.SKETCH) % 3
+    packed = sets.prefixes(docs, 5, 80, level.astype(np.uint8), 1, 7)
+    runs = [(r["part"], np.frombuffer(r["cells"], sets.CELL)) for r in packed.collect()]
+    assert sum(len(c) for _, c in runs) > 500 > 10 * len(runs) and {p for p, _ in runs} == set(range(7))
+    of = {token: p for p, c in runs for token in c["token"].tolist()}
+    assert all(of[token] == p for p, c in runs for token in c["token"].tolist())
+    size = np.bincount(list(of.values()))
+    assert size.max() < 2 * size.mean()
+    want = set()
+    for text in {x for _, d in corpus(6) for x in (d or "").split("\n")}:
+        first, tokens = sets.unit_sets(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]), 5, level)
+        n, cls = len(tokens), int(sets.classes(first, tokens).view(np.int64)[0])
+        if 100 * n >= 80 * (n + 1):
+            want |= {(int(x), cls, i) for i, x in enumerate(tokens[: sets.prefix_length(n, 80)].view(np.int64))}
+    assert {x for _, c in runs for x in c.tolist()} == want
+    count = {}
+    for token, _, _ in want:
+        count[token] = count.get(token, 0) + 1
+    got = [tuple(r) for r in sets.shared_cells(packed, "cells").collect()]
+    assert sorted(got) == sorted(x for x in want if count[x[0]] > 1) and got
