@@ -23,6 +23,8 @@ rows in parts of some megabytes.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ LENGTH, GRAM = 200, 32
 #: Distinct stretches of one anchor hash that are sorted in one task.
 MOST = 5000
 PIECE = 1 << 20
+#: Stretches that are counted together before anything is shuffled.
+STRETCHES = 1 << 18
 
 
 def ranks(data: np.ndarray, length: int) -> list[np.ndarray]:
@@ -165,21 +169,31 @@ def _anchors(batches, length: int, gram: int):
     for batch in batches:
         for part in slices(batch, 1):
             data, offsets = utf8(part.column(1))
-            keys, out = part.column(0).to_numpy(zero_copy_only=False), []
+            keys, out, many = part.column(0).to_numpy(zero_copy_only=False), [], 0
             for r in range(part.num_rows):
                 text = data[offsets[r] : offsets[r + 1]]
                 for i, j in pieces(len(text), length):
                     a, b, h, s = stretches(text[i:j], length, gram)
                     out.append((h, s, np.full(len(a), keys[r]), a + i, b + i))
-            h, s, key, lo, hi = (np.concatenate(x) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 5
-            if not len(h):
-                continue
-            order = np.lexsort((lo, key, s, h))
-            h, s, key, lo, hi = (x[order] for x in (h, s, key, lo, hi))
-            first, size = _runs(h, s)
-            yield _rows(0, h[first], s[first], key[first], lo[first], hi[first], size)
-            again = np.repeat(size > 1, size)
-            yield from _ranges(key[again], lo[again], hi[again] + length)
+                    many += len(a)
+                    # A text of very short periods has as many stretches as bytes.
+                    if many > STRETCHES:
+                        yield from _combined(out, length)
+                        out, many = [], 0
+            yield from _combined(out, length)
+
+
+def _combined(out: list, length: int):
+    """Rows of kind 0 of stretches (h, s, key, lo, hi), one a content with its number, and of kind 2 for contents that occur twice."""
+    h, s, key, lo, hi = (np.concatenate(x) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 5
+    if not len(h):
+        return
+    order = np.lexsort((lo, key, s, h))
+    h, s, key, lo, hi = (x[order] for x in (h, s, key, lo, hi))
+    first, size = _runs(h, s)
+    yield _rows(0, h[first], s[first], key[first], lo[first], hi[first], size)
+    again = np.repeat(size > 1, size)
+    yield from _ranges(key[again], lo[again], hi[again] + length)
 
 
 def _runs(*cols) -> tuple[np.ndarray, np.ndarray]:
@@ -191,7 +205,7 @@ def _runs(*cols) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ranges(key, lo, hi):
-    """Rows of kind 2: overlapping ranges of a key as one."""
+    """Rows of kind 2: overlapping ranges of a key as one. They go through the shuffle of the anchors, so h deals them out."""
     if not len(key):
         return
     order = np.lexsort((lo, key))
@@ -201,8 +215,8 @@ def _ranges(key, lo, hi):
     end = np.maximum.accumulate(turn + hi)
     cut = np.flatnonzero(np.concatenate([[True], (turn + lo)[1:] > end[:-1]]))
     last = np.append(cut[1:], len(key)) - 1
-    none = np.zeros(len(cut), np.int64)
-    yield _rows(2, none, none, key[cut], lo[cut], (end - turn)[last], none)
+    key, lo, none = key[cut], lo[cut], np.zeros(len(cut), np.int64)
+    yield _rows(2, rolling.mix((key ^ lo).view(np.uint64)), none, key, lo, (end - turn)[last], none)
 
 
 #: Rows of one anchor hash that a task holds; of more, it holds so many at a time and takes all for many stretches.
@@ -210,11 +224,14 @@ HELD = 1 << 19
 
 
 def _counted(batches, most: int, length: int, most_held: int):
-    """Rows of kind 0 in the order of (h, s): one row a content of anchors with several, n now their number; of kind 2: contents that occur twice."""
+    """Rows in the order of (h, s): of kind 0, one a content of anchors with several, n now their number; of kind 2, those that came and contents that occur twice."""
     held, frequent = None, None
-    for cols in (*batches, None):
+    for cols in chain(batches, [None]):
         now = None if cols is None else {c: cols.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(NAMES)}
         if now is not None:
+            known = now["kind"] == 2
+            yield from _ranges(*(now[c][known] for c in ("key", "lo", "hi")))
+            now = {c: v[~known] for c, v in now.items()}
             held = now if held is None else {c: np.concatenate([held[c], now[c]]) for c in NAMES}
         if held is None or not len(held["h"]):
             continue
@@ -318,9 +335,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     from factloom.llm.sets import texts_of, whole_number
 
     rows, most_held = keyed(docs), HELD
-    found = save(mapped(rows.select("key", "text"), lambda b: _anchors(b, length, gram), KINDS), "stretches", "kind")
-    ordered = found.where("kind = 0").select(*NAMES).repartition("h").sortWithinPartitions("h", "s", "key", "lo")
-    counted = save(mapped(ordered, lambda b: _counted(b, most, length, most_held), KINDS), "anchors", "kind")
+    # Few tables are saved, and none in parts: without its native library Hadoop starts processes for each file, at first of the size of the JVM.
+    found = mapped(rows.select("key", "text"), lambda b: _anchors(b, length, gram), KINDS)
+    ordered = found.repartition("h").sortWithinPartitions("h", "s", "key", "lo")
+    counted = save(mapped(ordered, lambda b: _counted(b, most, length, most_held), KINDS), "anchors")
     # One document of each key: equal texts have equal bytes.
     one = rows.select("key", whole_number(docs, "doc_id").alias("doc_id")).groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     asked = counted.where("kind = 0").groupBy("key").agg(F.collect_list(F.struct("h", "lo", "hi", "n")).alias("asked")).join(one, "key")
@@ -340,12 +358,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     asked = asked.select("doc_id", "key", F.transform("asked", lambda x: x.withField("key", F.col("key"))).alias("asked"))
     parts = save(mapped(texts_of(docs, asked), cut, "h bigint, lo bigint, hi bigint, n bigint, key bigint, bytes binary"), "stretch-bytes")
     few = parts.where(F.col("n") <= most).select("h", "key", "lo", "bytes").repartition("h").sortWithinPartitions("h", "key", "lo")
-    spans = found.where("kind = 2").unionByName(counted.where("kind = 2")).select("key", "lo", "hi")
+    spans = counted.where("kind = 2").select("key", "lo", "hi")
     spans = spans.unionByName(mapped(few, lambda b: _sorted_groups(b, length), KINDS).select("key", "lo", "hi"))
     strings = mapped(parts.where(F.col("n") > most).select("key", "lo", "bytes"), lambda b: _strings(b, length), KINDS)
     strings = strings.repartition("h").sortWithinPartitions("h", "s", "key", "lo")
     spans = spans.unionByName(mapped(strings, _equal_strings, KINDS).select("key", "lo", "hi"))
-    return save(spans, "repeats").groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    return spans.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:

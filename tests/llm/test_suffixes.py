@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from factloom.llm import suffixes
+from factloom.llm import common, suffixes
 
 
 def brute(texts, length):
@@ -108,3 +108,43 @@ def test_very_long_text(spark, monkeypatch):
     got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffixes.remove(rows).collect()}
     # The bytes beside the passage may happen to be equal too.
     assert got[2] == (0, 0) and all(size <= got[i][0] <= size + 4 and got[i][1] == 1 for i in (0, 1))
+
+
+def test_few_files_are_saved(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "shared_folder", lambda spark: str(tmp_path))
+    rows = spark.createDataFrame(list(enumerate(corpus(5))), "doc_id bigint, text string").repartition(3)
+    assert suffixes.remove(rows, 60, gram=12, most=100).where("n_removed > 0").count() > 20
+    tables = sorted((tmp_path / "factloom").iterdir())
+    assert [t.name.rpartition("-")[0] for t in tables] == ["anchors", "stretch-bytes"]
+    # No more files than tasks, whatever kinds of rows they hold.
+    assert all(len(list(t.rglob("*.parquet"))) <= 4 for t in tables)
+
+
+def test_counted_holds_one_batch_at_a_time():
+    none, read = np.zeros(1, np.int64), []
+
+    def batches():
+        for i in range(50):
+            read.append(i)
+            for turn in range(2):
+                yield suffixes._rows(0, none + i, none + turn, none, none, none, none + 1)
+                yield from suffixes._ranges(none + i, none + turn, none + turn + 5)
+
+    out = []
+    for got in suffixes._counted(batches(), 9, 5, 99):
+        out += [r for r in got.to_pylist()]
+        assert len(read) < 4 or len(out) >= len(read)
+    assert len([r for r in out if r["kind"] == 0 and r["n"] == 2]) == 100
+    assert sorted((r["key"], r["lo"], r["hi"]) for r in out if r["kind"] == 2) == [(i, t, t + 5) for i in range(50) for t in range(2)]
+
+
+def test_texts_of_short_periods_are_counted_by_the_piece(spark):
+    import pyarrow as pa
+
+    texts = ["x" * 3_000_000, "xy" * 1_000_000]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6]), pa.array(texts)], ["key", "text"])
+    rows = [r for b in suffixes._anchors(iter([batch]), 200, 32) for r in b.select(["kind", "key", "n"]).to_pylist() if r["kind"] == 0]
+    # Several rows a content show that no text was held as a whole; of the first, each start is a stretch.
+    assert 5 < len(rows) < 50 and sum(r["n"] for r in rows if r["key"] == 5) == 3_000_000 - 199
+    got = suffixes.remove(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert [tuple(r)[1:4] for r in got] == [(3_000_000, 3_000_000, 1), (2_000_000, 2_000_000, 1)]
